@@ -134,16 +134,18 @@ def normalize(text: Column, options: TextOptions = TextOptions()) -> Column:
 
 
 def with_normalized(
-    df: DataFrame, source: str, target: str, options: TextOptions = TextOptions()
+    df: DataFrame, columns: dict[str, str], options: TextOptions = TextOptions()
 ) -> DataFrame:
-    """Add ``target``, the normalised ``source``, one guarded projection per step."""
-    df = df.withColumn(target, F.col(source))
+    """Add normalised columns (source -> target), one guarded projection per step."""
+    df = df.withColumns({target: F.col(source) for source, target in columns.items()})
     for guard, step in normalization_steps(options):
-        current = F.col(target)
-        changed = step(current)
-        if guard is not None:
-            changed = F.when(guard(current), changed).otherwise(current)
-        df = df.withColumn(target, changed)
+        changed = {}
+        for target in columns.values():
+            current = F.col(target)
+            changed[target] = step(current)
+            if guard is not None:
+                changed[target] = F.when(guard(current), step(current)).otherwise(current)
+        df = df.withColumns(changed)
     return df
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import html
 import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -89,15 +90,17 @@ def needs_decoding(text: Column) -> Column:
 _STRAIGHT = str.maketrans(dict.fromkeys(CURLY_APOSTROPHES, "'"))
 
 
-@F.arrow_udf(StringType())
-def _decode(values):
-    import pyarrow as pa
-
-    def one(value: str) -> str:
+# A pandas function, while scoring uses Arrow ones: Spark chains Python functions of one kind by
+# inlining everything between them, which would repeat the normaliser inside every guard.
+@F.pandas_udf(StringType())
+def _decode(values: pd.Series) -> pd.Series:
+    def one(value: str | None) -> str | None:
+        if value is None:
+            return None
         value = unicodedata.normalize("NFKC", value).translate(_STRAIGHT)
         return html.unescape(value) if "&" in value else value
 
-    return pa.array([None if v is None else one(v) for v in values.to_pylist()], pa.string())
+    return values.map(one)
 
 
 def straighten(text: Column) -> Column:

@@ -68,11 +68,15 @@ def prepare(
     options: TextOptions = TextOptions(),
     count_separator: bool = True,
 ) -> DataFrame:
-    """Validated rows with content, word count, clean text and document fingerprint."""
+    """Validated rows with content, word count, clean text, fingerprint and title group.
+
+    Columns nobody reads are pruned together with the work behind them.
+    """
     kept = drop_empty(add_content(validate(df), separator), separator, count_separator)
-    return tx.with_normalized(kept, "content", "clean", options).withColumn(
-        "document_hash", tx.fingerprint(F.col("clean"))
-    )
+    named = tx.with_normalized(kept, {"content": "clean", "title": "__title"}, options)
+    hashed = named.withColumn("document_hash", tx.fingerprint(F.col("clean")))
+    group = tx.title_group(F.col("__title"), F.col("document_hash"))
+    return hashed.withColumn("title_group", group).drop("__title")
 
 
 def load_summary(

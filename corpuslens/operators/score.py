@@ -292,7 +292,7 @@ def predict(
     """Full prediction record per row. Rejected rows keep a reason and null results."""
     accepted = F.col("reject_reason").isNull()
     checked = assess(df, text, o).withColumn("__text", F.when(accepted, F.col("input")))
-    cleaned = tx.with_normalized(checked, "__text", "clean", model.text)
+    cleaned = tx.with_normalized(checked, {"__text": "clean"}, model.text)
     scored = with_scores(cleaned, model, o.top_features)
     kind = model.score_kind
     score = F.col("scored.score")

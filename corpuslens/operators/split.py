@@ -33,11 +33,9 @@ class Assigned:
 
 def with_title_group(df: DataFrame) -> DataFrame:
     """Add ``title_group``: titles that agree in their first words stay together."""
-    return (
-        tx.with_normalized(df, "title", "__title")
-        .withColumn("title_group", tx.title_group(F.col("__title"), F.col("document_hash")))
-        .drop("__title")
-    )
+    group = tx.title_group(F.col("__title"), F.col("document_hash"))
+    named = tx.with_normalized(df, {"title": "__title"})
+    return named.withColumn("title_group", group).drop("__title")
 
 
 def _by_share(position: Column, o: SplitOptions) -> Column:

@@ -9,7 +9,6 @@ from corpuslens.config import TextOptions
 from corpuslens.functions import text as tx
 from corpuslens.functions import unicode as uni
 from corpuslens.operators.contract import add_content, prepare
-from corpuslens.operators.split import with_title_group
 from corpuslens.plans.queries import fixtures as fx
 from corpuslens.plans.queries.registry import query
 
@@ -113,17 +112,10 @@ def mask_url(spark, sf_dir):
 
 @query("normalize_text", f"{_MARKED} {_digest_sql('row_id', fx.normalize_sql('content'), 'm')}")
 def normalize_text(spark, sf_dir):
-    clean = tx.with_normalized(_marked(spark, sf_dir), "content", "clean")
+    clean = tx.with_normalized(_marked(spark, sf_dir), {"content": "clean"})
     return _digest(clean, "row_id", F.col("clean"))
 
 
-_KEPT = fx.keep_sql(
-    fx.repeats_sql(
-        fx.contractions_sql(fx.url_sql(fx.email_sql(fx.tags_sql(fx.apostrophes_sql("page"))), " "))
-    )
-)
-
-
 @query(
     "normalize_options",
     "SELECT row_id, CAST(length(v) AS BIGINT) AS n_chars, sha256(v) AS value_hash FROM ("
@@ -133,7 +125,7 @@ _KEPT = fx.keep_sql(
 def normalize_options(spark, sf_dir):
     """Numbers masked, URLs dropped, source markers kept."""
     options = TextOptions(replace_urls=False, replace_numbers=True, remove_source_markers=False)
-    clean = tx.with_normalized(_marked(spark, sf_dir), "content", "clean", options)
+    clean = tx.with_normalized(_marked(spark, sf_dir), {"content": "clean"}, options)
     return _digest(clean, "row_id", F.col("clean"))
 
 
@@ -150,7 +142,7 @@ def doc_fingerprint(spark, sf_dir):
     f"WITH {fx.PREPARED} SELECT row_id, {fx.group_sql()} AS title_group FROM prepared",
 )
 def title_group(spark, sf_dir):
-    return with_title_group(fx.prepared(spark, sf_dir)).select("row_id", "title_group")
+    return fx.prepared(spark, sf_dir).select("row_id", "title_group")
 
 
 @query(

@@ -160,7 +160,8 @@ def assign_splits(df: DataFrame, o: SplitOptions = SplitOptions()) -> Assigned:
 
 def split_summary(df: DataFrame) -> DataFrame:
     """Rows, classes and date range per split; every split is listed."""
-    named = df.sparkSession.createDataFrame([(s,) for s in SPLITS], "split string")
+    names = F.array(*[F.lit(s) for s in SPLITS])
+    named = df.sparkSession.range(1).select(F.explode(names).alias("split"))
     dated = "date" in df.columns
     moment = parse_date(F.col("date")) if dated else F.lit(None).cast("timestamp")
     summary = (
@@ -174,7 +175,7 @@ def split_summary(df: DataFrame) -> DataFrame:
             F.max("__moment").alias("date_max"),
         )
     )
-    return named.join(summary, "split", "left").na.fill(0, ["rows", "class_0", "class_1"])
+    return named.join(F.broadcast(summary), "split", "left").na.fill(0, ["rows", "class_0", "class_1"])
 
 
 def split_overlap(df: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,13 +37,22 @@ def local_terms(df: DataFrame, model: TextModel, top_n: int = 8, *keep: str) ->
 
 def coefficient_table(spark: SparkSession, model: TextModel) -> DataFrame:
     """(member, space, term, coefficient); bounded by the vocabulary caps."""
-    rows = [
-        (number, space, term, float(weight))
-        for number, m in enumerate(model.members)
-        if m.linear.explainable
-        for (space, term), weight in zip(m.features.names, m.linear.coefficients)
-    ]
-    return spark.createDataFrame(rows, "member int, space string, term string, coefficient double")
+    schema = pa.schema(
+        [
+            ("member", pa.int32()),
+            ("space", pa.string()),
+            ("term", pa.string()),
+            ("coefficient", pa.float64()),
+        ]
+    )
+    parts = [schema.empty_table()]
+    for number, m in enumerate(model.members):
+        if m.linear.explainable:
+            spaces, terms = zip(*m.features.names) if m.features.names else ((), ())
+            member = np.full(len(terms), number, dtype=np.int32)
+            columns = [member, list(spaces), list(terms), m.linear.coefficients]
+            parts.append(pa.table([pa.array(c) for c in columns], schema=schema))
+    return spark.createDataFrame(pa.concat_tables(parts))
 
 
 def global_terms(

@@ -10,9 +10,10 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,14 +90,16 @@ class FeatureModel:
 
     def table(self, spark) -> DataFrame:
         """Vocabulary table (space, term, index, df, idf)."""
-        rows, index = [], 0
-        for s in self.spaces:
-            for term, df, idf in zip(s.terms, s.df, s.idf):
-                rows.append((s.name, term, index, int(df), float(idf)))
-                index += 1
-        return spark.createDataFrame(
-            rows, "space string, term string, index int, df bigint, idf double"
+        table = pa.table(
+            {
+                "space": [s.name for s in self.spaces for _ in s.terms],
+                "term": [t for s in self.spaces for t in s.terms],
+                "index": pa.array(np.arange(self.size, dtype=np.int32)),
+                "df": pa.array([d for s in self.spaces for d in s.df], pa.int64()),
+                "idf": pa.array(self.idf, pa.float64()),
+            }
         )
+        return spark.createDataFrame(table)
 
 
 def inverse_df(df: np.ndarray, documents: int) -> np.ndarray:
@@ -128,17 +131,11 @@ def fit_features(df: DataFrame, o: FeatureOptions = FeatureOptions()) -> Feature
     if o.char.enabled:
         wanted.append((CHAR_SPACE, o.char.sublinear_tf))
     for name, sublinear in wanted:
-        rows = vocabulary(df, name, documents, o).collect()
-        counts = np.array([r["df"] for r in rows], dtype=float)
-        spaces.append(
-            Space(
-                name,
-                tuple(r["term"] for r in rows),
-                tuple(r["df"] for r in rows),
-                inverse_df(counts, documents),
-                sublinear,
-            )
-        )
+        found = vocabulary(df, name, documents, o).toArrow()
+        counts = found.column("df").to_pylist()
+        idf = inverse_df(np.array(counts, dtype=float), documents)
+        terms = tuple(found.column("term").to_pylist())
+        spaces.append(Space(name, terms, tuple(counts), idf, sublinear))
     return FeatureModel(o, documents, tuple(spaces))
 
 
@@ -146,6 +143,20 @@ def subset_space(model: FeatureModel, name: str) -> FeatureModel:
     return replace(model, spaces=tuple(s for s in model.spaces if s.name == name))
 
 
+def term_counter(terms: tuple[str, ...], source: str, target: str) -> CountVectorizerModel:
+    """``CountVectorizerModel.from_vocabulary`` with the terms sent in one call.
+
+    The public constructor makes one driver round trip per term, seconds for a full vocabulary.
+    """
+    mark = "\x1f"
+    java = SparkSession.active().sparkContext._jvm.java
+    words = java.util.regex.Pattern.compile(mark).split(mark.join(terms), -1)
+    model = CountVectorizerModel._create_from_java_class(
+        "org.apache.spark.ml.feature.CountVectorizerModel", words
+    )
+    return model.setInputCol(source).setOutputCol(target)
+
+
 def with_counts(df: DataFrame, models: list[FeatureModel]) -> tuple[DataFrame, list[list[str]]]:
     """Sparse count vectors, one column per (model, space); each document is tokenised once."""
     spaces = {s.name for m in models for s in m.spaces}
@@ -159,10 +170,7 @@ def with_counts(df: DataFrame, models: list[FeatureModel]) -> tuple[DataFrame, l
         for s in model.spaces:
             column = f"__tf_{s.name}_{number}"
             if s.terms:
-                counter = CountVectorizerModel.from_vocabulary(
-                    list(s.terms), inputCol=tokens[s.name], outputCol=column
-                )
-                df = counter.transform(df)
+                df = term_counter(s.terms, tokens[s.name], column).transform(df)
             else:
                 df = df.withColumn(column, F.lit(None).cast(VectorUDT()))
             own.append(column)
@@ -219,8 +227,6 @@ def tfidf_table(df: DataFrame, model: FeatureModel, *keep: str) -> DataFrame:
 
     @F.arrow_udf(_ENTRY)
     def weigh(*batches):
-        import pyarrow as pa
-
         lengths, indices, counts, weights = weigh_batches(batches, settings)
         entries = pa.StructArray.from_arrays(
             [
@@ -242,8 +248,6 @@ def tfidf_table(df: DataFrame, model: FeatureModel, *keep: str) -> DataFrame:
 
 @F.arrow_udf(T.ArrayType(T.DoubleType()))
 def _block_stats(vectors):
-    import pyarrow as pa
-
     lengths, _, values = sparse.unpack(vectors)
     square = sparse.row_sums(lengths, values * values)
     flat = np.column_stack([lengths.astype(float), np.sqrt(square)]).ravel()

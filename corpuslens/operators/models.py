@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.classification import LogisticRegression as MLLogistic
 from pyspark.ml.linalg import VectorUDT
@@ -80,8 +81,6 @@ def fit_majority(df: DataFrame, size: int) -> LinearModel:
 )
 def entries(vectors):
     """Sparse vector as array<struct<index, weight>>."""
-    import pyarrow as pa
-
     lengths, index, value = sparse.unpack(vectors)
     flat = pa.StructArray.from_arrays(
         [pa.array(index.astype(np.int32)), pa.array(value)], names=["index", "weight"]
@@ -103,8 +102,10 @@ def fit_naive_bayes(df: DataFrame, size: int, alpha: float = 0.5) -> LinearModel
     counts = class_counts(df)
     sums = {0: np.zeros(size), 1: np.zeros(size)}
     # At most two rows per vocabulary entry, and the vocabulary is capped.
-    for row in class_term_sums(df).collect():
-        sums[row["label"]][row["index"]] = row["weight"]
+    found = class_term_sums(df).toArrow()
+    labels, index, weight = (found.column(c).to_numpy() for c in ("label", "index", "weight"))
+    for k, total in sums.items():
+        total[index[labels == k]] = weight[labels == k]
     theta = {k: np.log(v + alpha) - np.log(v.sum() + alpha * size) for k, v in sums.items()}
     present = [k for k in (0, 1) if counts.get(k)]
     if len(present) < 2:
@@ -144,7 +145,7 @@ def fit_logistic(df: DataFrame, size: int, c: float = 2.0, max_iter: int = 200)
         standardization=False,
         fitIntercept=False,
         maxIter=max_iter,
-        tol=1e-7,
+        tol=1e-6,
     ).fit(data)
     w = fitted.coefficients.toArray()
     return LinearModel("logistic_regression", w[:size], float(w[size]), "sigmoid")
@@ -189,9 +190,6 @@ def fit_passive_aggressive(
         start = current
 
         def one_pass(batches, start=start):
-            import pandas as pd
-            import pyarrow as pa
-
             w, mean = start.copy(), np.zeros_like(start)
             rows, loss_sum = 0, 0.0
             for batch in batches:
@@ -212,39 +210,40 @@ def fit_passive_aggressive(
             if rows:
                 mean = w - mean / rows
                 changed = np.flatnonzero((w != start) | (mean != start))
-                frame = pd.DataFrame(
+                yield pa.RecordBatch.from_pydict(
                     {
-                        "index": np.append(changed, -1),
-                        "delta": np.append(w[changed] - start[changed], loss_sum / rows),
-                        "mean": np.append(mean[changed] - start[changed], 0.0),
-                        "rows": rows,
+                        "index": pa.array(np.append(changed, -1), pa.int32()),
+                        "delta": pa.array(np.append((w - start)[changed], loss_sum)),
+                        "mean": pa.array(np.append((mean - start)[changed], 0.0)),
+                        "rows": pa.array(np.full(len(changed) + 1, rows), pa.int64()),
                     }
                 )
-                yield pa.RecordBatch.from_pandas(
-                    frame.astype({"index": "int32", "rows": "int64"}), preserve_index=False
-                )
 
         schema = "index int, delta double, mean double, rows bigint"
         mixed = (
             data.mapInArrow(one_pass, schema)
             .groupBy("index")
             .agg(
-                F.sum(F.col("delta") * F.col("rows")).alias("delta"),
+                F.sum(
+                    F.when(F.col("index") == -1, F.col("delta")).otherwise(
+                        F.col("delta") * F.col("rows")
+                    )
+                ).alias("delta"),
                 F.sum(F.col("mean") * F.col("rows")).alias("mean"),
                 F.sum("rows").alias("rows"),
             )
-            .collect()
+            .toArrow()
         )
-        total = next((r["rows"] for r in mixed if r["index"] == -1), 0)
-        if not total:
+        index, change, centre, rows = (
+            mixed.column(c).to_numpy() for c in ("index", "delta", "mean", "rows")
+        )
+        summary = index == -1
+        if not summary.any():
             break
+        total, loss = rows[summary][0], change[summary][0] / rows[summary][0]
         delta, mean = np.zeros(size + 1), np.zeros(size + 1)
-        loss = 0.0
-        for r in mixed:
-            if r["index"] == -1:
-                loss = r["delta"] / total
-            else:
-                delta[r["index"]], mean[r["index"]] = r["delta"] / total, r["mean"] / total
+        delta[index[~summary]] = change[~summary] / total
+        mean[index[~summary]] = centre[~summary] / total
         averaged = (averaged * done + current + mean) / (done + 1)
         current = current + delta
         done += 1
@@ -279,8 +278,6 @@ def margin(model: LinearModel) -> Column:
 
     @F.arrow_udf(T.DoubleType())
     def dot(vectors):
-        import pyarrow as pa
-
         lengths, index, value = sparse.unpack(vectors)
         return pa.array(sparse.row_sums(lengths, value * w[index]) + b)
 

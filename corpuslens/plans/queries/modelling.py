@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from corpuslens.config import CharOptions, FeatureOptions, ModelOptions, ProjectOptions
@@ -67,9 +68,13 @@ def fit_naive_bayes(spark, sf_dir):
     """Log odds of every feature, and of the classes."""
     rows = cleaned(spark, sf_dir)
     features, linear = fit_pipeline(_train(rows), "naive_bayes")
-    lines = [(s, t, float(w)) for (s, t), w in zip(features.names, linear.coefficients)]
-    table = spark.createDataFrame(lines, "space string, term string, log_odds double")
-    return table.select(
+    table = features.table(spark).select("space", "term", "index")
+    odds = spark.createDataFrame(
+        pa.table(
+            {"index": np.arange(features.size, dtype=np.int32), "log_odds": linear.coefficients}
+        )
+    )
+    return table.join(odds, "index").select(
         "space", "term", r6("log_odds").alias("log_odds"), r6(F.lit(linear.intercept)).alias("prior_log_odds")
     )
 

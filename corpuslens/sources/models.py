@@ -6,6 +6,7 @@ import json
 from dataclasses import asdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from corpuslens.config import CharOptions, FeatureOptions, TextOptions, WordOptions
@@ -44,15 +45,26 @@ def model_tables(spark: SparkSession, model: TextModel) -> dict[str, DataFrame]:
                 [float(v) for v in c.y] if c else None,
             )
         )
-        index = 0
-        for s in m.features.spaces:
-            for term, df, idf in zip(s.terms, s.df, s.idf):
-                weight = float(m.linear.coefficients[index])
-                terms.append((number, s.name, term, index, int(df), float(idf), s.sublinear, weight))
-                index += 1
+        names = m.features.names
+        terms.append(
+            pa.table(
+                {
+                    "member": pa.array(np.full(len(names), number), pa.int32()),
+                    "space": pa.array([space for space, _ in names], pa.string()),
+                    "term": pa.array([term for _, term in names], pa.string()),
+                    "index": pa.array(np.arange(len(names)), pa.int32()),
+                    "df": pa.array([d for s in m.features.spaces for d in s.df], pa.int64()),
+                    "idf": pa.array(m.features.idf, pa.float64()),
+                    "sublinear": pa.array(
+                        [s.sublinear for s in m.features.spaces for _ in s.terms], pa.bool_()
+                    ),
+                    "coefficient": pa.array(m.linear.coefficients, pa.float64()),
+                }
+            )
+        )
     return {
         "members": spark.createDataFrame(members, _MEMBERS),
-        "terms": spark.createDataFrame(terms, _TERMS),
+        "terms": spark.createDataFrame(pa.concat_tables(terms)),
     }
 
 

@@ -91,7 +91,7 @@ def quote(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-SPACES = uni.SPACES
+SPACES = r"\t-\r\x1c-\x20\x85\p{Z}"
 WORD = uni.WORD
 SPACE_LIST = "(" + " || ".join(f"chr({ord(c)})" for c in uni.SPACE_CHARS) + ")"
 

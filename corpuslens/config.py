@@ -71,9 +71,9 @@ class ModelOptions:
         "linear_svm",
     )
     logistic_c: float = 2.0
-    logistic_max_iter: int = 200
+    logistic_max_iter: int = 100
     svm_c: float = 1.0
-    svm_max_iter: int = 50
+    svm_max_iter: int = 30
     passive_aggressive_c: float = 0.5
     passive_aggressive_epochs: int = 10
     naive_bayes_alpha: float = 0.5

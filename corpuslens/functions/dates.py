@@ -5,18 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted layouts, tried in order.
-DATE_FORMATS = (
-    "MMMM d, yyyy",
-    "MMM d, yyyy",
+# Accepted layouts by the shape of the text. A layout that does not fit costs an
+# exception inside Spark, so the shape picks the few that can.
+YEAR_FIRST = (
     "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
     "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
     "yyyy-MM-dd",
-    "d-MMM-yy",
 )
+MONTH_FIRST = ("MMMM d, yyyy", "MMM d, yyyy")
+DAY_FIRST = ("d-MMM-yy",)
 
 
-def parse_date(text: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
+def _first_fit(value: Column, formats: tuple[str, ...]) -> Column:
+    return F.coalesce(*[F.try_to_timestamp(value, F.lit(f)) for f in formats])
+
+
+def parse_date(text: Column) -> Column:
     """First layout that fits, else null."""
     value = F.trim(text.cast("string"))
-    return F.coalesce(*[F.try_to_timestamp(value, F.lit(f)) for f in formats])
+    return (
+        F.when(value.rlike(r"^\d{4}-\d"), _first_fit(value, YEAR_FIRST))
+        .when(value.rlike(r"^[A-Za-z]{3,9} \d"), _first_fit(value, MONTH_FIRST))
+        .when(value.rlike(r"^\d{1,2}-[A-Za-z]"), _first_fit(value, DAY_FIRST))
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslens.operators.features import WORD_SPACE
@@ -13,26 +13,20 @@ from corpuslens.operators.score import TextModel, with_scores
 
 def local_terms(df: DataFrame, model: TextModel, top_n: int = 8, *keep: str) -> DataFrame:
     """One line per explained term: direction, rank, term and absolute contribution."""
-    scored = with_scores(df, model, top_n).select(*keep, "scored.*")
-    sides = [
-        scored.select(
-            *keep,
-            F.lit(side).alias("direction"),
-            F.posexplode(f"toward_{side}").alias("position", "item"),
-        )
-        for side in ("fake", "real")
-    ]
-    return (
-        sides[0]
-        .unionByName(sides[1])
-        .select(
-            *keep,
-            "direction",
-            (F.col("position") + 1).alias("rank"),
-            F.col("item.feature").alias("feature"),
-            F.col("item.contribution").alias("contribution"),
+
+    def lines(side: str) -> Column:
+        return F.transform(
+            f"scored.toward_{side}",
+            lambda item, i: F.struct(
+                F.lit(side).alias("direction"),
+                (i + 1).alias("rank"),
+                item["feature"].alias("feature"),
+                item["contribution"].alias("contribution"),
+            ),
         )
-    )
+
+    scored = with_scores(df, model, top_n)
+    return scored.select(*keep, F.inline(F.concat(lines("fake"), lines("real"))))
 
 
 def coefficient_table(spark: SparkSession, model: TextModel) -> DataFrame:

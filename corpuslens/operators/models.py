@@ -145,7 +145,7 @@ def fit_logistic(df: DataFrame, size: int, c: float = 2.0, max_iter: int = 200)
         standardization=False,
         fitIntercept=False,
         maxIter=max_iter,
-        tol=1e-6,
+        tol=1e-5,
     ).fit(data)
     w = fitted.coefficients.toArray()
     return LinearModel("logistic_regression", w[:size], float(w[size]), "sigmoid")

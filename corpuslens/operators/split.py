@@ -17,6 +17,7 @@ from corpuslens.functions import text as tx
 from corpuslens.functions.dates import parse_date
 from corpuslens.functions.hashing import seeded, unit
 from corpuslens.operators.order import below, order_statistics
+from corpuslens.sources.tables import materialize
 
 SPLITS = ("train", "validation", "test")
 _LAST = (1 << 62) - 1
@@ -136,7 +137,8 @@ def split_by_time(df: DataFrame, o: SplitOptions = SplitOptions(), date: str = "
     """Oldest rows train, newest test; undated rows come last; ties by ``row_id``."""
     moment = F.coalesce(F.unix_micros(parse_date(F.col(date))), F.lit(_LAST))
     keyed = df.withColumn("__moment", moment)
-    narrow = keyed.select("__moment", "row_id")
+    # Two numbers per row, written once: dates are parsed once for all counting passes.
+    narrow = materialize(keyed.select("__moment", "row_id"), "moments")
     total = narrow.count()
     train = int(total * o.train_size)
     ends = [train, train + int(total * o.validation_size)]

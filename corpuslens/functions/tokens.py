@@ -68,8 +68,11 @@ def char_ngrams(clean: Column, low: int = 3, high: int = 5) -> Column:
     which is linear in the text however long a word is.
     """
     padded = F.concat(F.lit(" "), F.lower(clean), F.lit(" "))
+    if low < 2:
+        raise ValueError("character n-grams need at least two characters")
+    # Two spaces in a row only occur around an empty text.
     grams = [
-        _all(padded, rf"(?s)(?=(.[^ ]{{{n - 2}}}.)).", 1) for n in range(max(low, 2), high + 1)
+        _all(padded, rf"(?s)(?! {{2}})(?=(.[^ ]{{{n - 2}}}.)).", 1) for n in range(low, high + 1)
     ]
     if low > 3:
         # A padded word shorter than the smallest n counts once, whole.

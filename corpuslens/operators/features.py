@@ -13,11 +13,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpuslens.config import CharOptions, FeatureOptions, WordOptions
+from corpuslens.config import FeatureOptions
 from corpuslens.functions import sparse
 from corpuslens.functions import tokens as tk
 from corpuslens.functions.stopwords import ENGLISH, without
@@ -35,15 +35,22 @@ _ENTRY = T.ArrayType(
 )
 
 
-def word_terms(clean: Column, o: WordOptions = WordOptions()) -> Column:
-    """Word n-grams of a clean document, stop words removed first."""
-    stop = without(o.preserve, ENGLISH if o.stop_words is None else o.stop_words)
-    words = tk.drop_stop_words(tk.model_tokens(clean, o.strip_accents), stop)
-    return tk.ngram_range(words, 1, o.max_ngram)
+def with_terms(df: DataFrame, space: str, output: str, o: FeatureOptions) -> DataFrame:
+    """Add the term array of one space, from the ``clean`` column.
 
-
-def char_terms(clean: Column, o: CharOptions = CharOptions()) -> Column:
-    return tk.char_ngrams(clean, o.min_n, o.max_n)
+    Words become a column of their own first: n-grams read them several times, and nested in one
+    expression they would be tokenised again for each use.
+    """
+    if space == CHAR_SPACE:
+        return df.withColumn(output, tk.char_ngrams(F.col("clean"), o.char.min_n, o.char.max_n))
+    w = o.word
+    stop = without(w.preserve, ENGLISH if w.stop_words is None else w.stop_words)
+    words = tk.drop_stop_words(tk.model_tokens(F.col("clean"), w.strip_accents), stop)
+    return (
+        df.withColumn("__words", words)
+        .withColumn(output, tk.ngram_range(F.col("__words"), 1, w.max_ngram))
+        .drop("__words")
+    )
 
 
 def limit_vocabulary(
@@ -107,15 +114,11 @@ def inverse_df(df: np.ndarray, documents: int) -> np.ndarray:
     return np.log((1.0 + documents) / (1.0 + df)) + 1.0
 
 
-def _terms_of(name: str, clean: Column, o: FeatureOptions) -> Column:
-    return word_terms(clean, o.word) if name == WORD_SPACE else char_terms(clean, o.char)
-
-
 def vocabulary(
     df: DataFrame, space: str, documents: int, o: FeatureOptions = FeatureOptions()
 ) -> DataFrame:
     """Terms of one space with totals and document counts, limited as configured."""
-    totals = term_totals(df.select(_terms_of(space, F.col("clean"), o).alias("terms")), "terms")
+    totals = term_totals(with_terms(df, space, "__terms", o).select("__terms"), "__terms")
     if space == WORD_SPACE:
         w = o.word
         return limit_vocabulary(totals, documents, w.min_df, w.max_df, w.max_features)
@@ -163,7 +166,7 @@ def with_counts(df: DataFrame, models: list[FeatureModel]) -> tuple[DataFrame, l
     tokens = {name: f"__terms_{name}" for name in spaces}
     options = models[0].options
     for name in sorted(spaces):
-        df = df.withColumn(tokens[name], _terms_of(name, F.col("clean"), options))
+        df = with_terms(df, name, tokens[name], options)
     columns = []
     for number, model in enumerate(models):
         own = []

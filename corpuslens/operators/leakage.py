@@ -68,7 +68,8 @@ def term_frequencies(
 ) -> DataFrame:
     """Documents per class containing each 1-2-gram; the most frequent ``max_features`` terms."""
     words = tk.drop_stop_words(tk.report_tokens(F.col("content")), stop_words)
-    terms = df.select("label", F.explode(F.array_distinct(tk.ngram_range(words, 1, 2))).alias("term"))
+    grams = F.array_distinct(tk.ngram_range(F.col("words"), 1, 2))
+    terms = df.select("label", words.alias("words")).select("label", F.explode(grams).alias("term"))
     counted = terms.groupBy("term").agg(
         F.count_if(F.col("label") == 0).alias("fake_documents"),
         F.count_if(F.col("label") == 1).alias("real_documents"),

@@ -108,7 +108,10 @@ def top_ngrams(
     one map-side combined aggregate, without a shuffle by document.
     """
     words = tk.drop_stop_words(tk.report_tokens(F.col("content")), stop_words)
-    counted = term_totals(df.select("label", tk.ngrams(words, n).alias("terms")), "terms", "label")
+    grams = df.select("label", words.alias("words")).select(
+        "label", tk.ngrams(F.col("words"), n).alias("terms")
+    )
+    counted = term_totals(grams, "terms", "label")
     order = Window.partitionBy("label").orderBy(F.col("total").desc(), F.col("term"))
     return (
         counted.filter(F.col("df") >= minimum_df)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpuslens.config import NEGATIONS
+from corpuslens.config import NEGATIONS, FeatureOptions
 from corpuslens.functions import tokens as tk
 from corpuslens.functions.stopwords import without
 from corpuslens.operators import features as ft
@@ -124,8 +124,8 @@ def stopword_filter(spark, sf_dir):
         FROM ({word_terms_sql('prepared', 'row_id')}) t GROUP BY 1""",
 )
 def word_ngrams(spark, sf_dir):
-    terms = fx.prepared(spark, sf_dir).select(F.explode(ft.word_terms(F.col("clean"))).alias("term"))
-    return terms.groupBy("term").agg(F.count("*").alias("total"))
+    rows = ft.with_terms(fx.prepared(spark, sf_dir), ft.WORD_SPACE, "terms", FeatureOptions())
+    return rows.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("total"))
 
 
 @query(
@@ -134,8 +134,8 @@ def word_ngrams(spark, sf_dir):
         FROM ({char_terms_sql('prepared', 'row_id')}) t GROUP BY 1""",
 )
 def char_ngrams(spark, sf_dir):
-    terms = fx.prepared(spark, sf_dir).select(F.explode(ft.char_terms(F.col("clean"))).alias("term"))
-    return terms.groupBy("term").agg(F.count("*").alias("total"))
+    rows = ft.with_terms(fx.prepared(spark, sf_dir), ft.CHAR_SPACE, "terms", FeatureOptions())
+    return rows.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("total"))
 
 
 @query(

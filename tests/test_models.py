@@ -116,9 +116,8 @@ def test_calibrators(spark):
 
 
 def test_ensemble_probabilities_and_storage(spark, clean, tmp_path):
-    many = clean.select(
-        (F.col("row_id") + 10 * F.explode(F.sequence(F.lit(0), F.lit(3)))).alias("row_id"), "label", "clean"
-    )
+    copies = clean.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(3))))
+    many = copies.withColumn("row_id", F.col("row_id") + 10 * F.col("copy"))
     ensemble = fit_calibrated(many, "naive_bayes", ("sigmoid",), features=TOY)["sigmoid"]
     assert len(ensemble.members) == 3
     before = scored_labels(many, ensemble, "row_id").orderBy("row_id").collect()

@@ -26,7 +26,8 @@ def local_terms(df: DataFrame, model: TextModel, top_n: int = 8, *keep: str) ->
         )
 
     scored = with_scores(df, model, top_n)
-    return scored.select(*keep, F.inline(F.concat(lines("fake"), lines("real"))))
+    both = scored.select(*keep, F.inline_outer(F.concat(lines("fake"), lines("real"))))
+    return both.filter(F.col("feature").isNotNull())
 
 
 def coefficient_table(spark: SparkSession, model: TextModel) -> DataFrame:

@@ -243,7 +243,7 @@ def tfidf_table(df: DataFrame, model: FeatureModel, *keep: str) -> DataFrame:
 
     counted, (columns,) = with_counts(df, [model])
     entries = counted.select(*keep, weigh(*columns).alias("entries")).select(
-        *keep, F.inline("entries")
+        *keep, F.inline_outer("entries")
     )
     names = model.table(df.sparkSession).select("index", "space", "term")
     return entries.join(F.broadcast(names), "index").select(*keep, "space", "term", "tf", "weight")

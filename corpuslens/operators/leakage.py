@@ -69,7 +69,11 @@ def term_frequencies(
     """Documents per class containing each 1-2-gram; the most frequent ``max_features`` terms."""
     words = tk.drop_stop_words(tk.report_tokens(F.col("content")), stop_words)
     grams = F.array_distinct(tk.ngram_range(F.col("words"), 1, 2))
-    terms = df.select("label", words.alias("words")).select("label", F.explode(grams).alias("term"))
+    terms = (
+        df.select("label", words.alias("words"))
+        .select("label", F.explode_outer(grams).alias("term"))
+        .filter(F.col("term").isNotNull())
+    )
     counted = terms.groupBy("term").agg(
         F.count_if(F.col("label") == 0).alias("fake_documents"),
         F.count_if(F.col("label") == 1).alias("real_documents"),

@@ -91,7 +91,8 @@ def entries(vectors):
 def class_term_sums(df: DataFrame) -> DataFrame:
     """Summed weight per (label, feature); at most two rows per feature leave a map task."""
     return (
-        df.select("label", F.inline(entries("features")))
+        df.select("label", F.inline_outer(entries("features")))
+        .filter(F.col("index").isNotNull())
         .groupBy("label", "index")
         .agg(F.sum("weight").alias("weight"))
     )

@@ -133,8 +133,11 @@ def term_totals(df: DataFrame, terms: str, *by: str) -> DataFrame:
         )
 
     both = F.concat(mark(F.col(terms), 1, 0), mark(F.array_distinct(F.col(terms)), 0, 1))
+    # The outer generator: a plain one adds a "not empty" filter below, where Spark would inline and
+    # repeat the whole chain that builds the array.
     return (
-        df.select(*by, F.inline(both))
+        df.select(*by, F.inline_outer(both))
+        .filter(F.col("term").isNotNull())
         .groupBy(*by, "term")
         .agg(F.sum("occ").alias("total"), F.sum("doc").alias("df"))
     )

@@ -112,7 +112,8 @@ def stopword_filter(spark, sf_dir):
     words = tk.drop_stop_words(tk.model_tokens(F.col("clean")), _STOP)
     return (
         fx.prepared(spark, sf_dir)
-        .select(F.explode(words).alias("term"))
+        .select(F.explode_outer(words).alias("term"))
+        .filter(F.col("term").isNotNull())
         .groupBy("term")
         .agg(F.count("*").alias("total"))
     )
@@ -125,7 +126,8 @@ def stopword_filter(spark, sf_dir):
 )
 def word_ngrams(spark, sf_dir):
     rows = ft.with_terms(fx.prepared(spark, sf_dir), ft.WORD_SPACE, "terms", FeatureOptions())
-    return rows.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("total"))
+    terms = rows.select(F.explode_outer("terms").alias("term")).filter(F.col("term").isNotNull())
+    return terms.groupBy("term").agg(F.count("*").alias("total"))
 
 
 @query(
@@ -135,7 +137,8 @@ def word_ngrams(spark, sf_dir):
 )
 def char_ngrams(spark, sf_dir):
     rows = ft.with_terms(fx.prepared(spark, sf_dir), ft.CHAR_SPACE, "terms", FeatureOptions())
-    return rows.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("total"))
+    terms = rows.select(F.explode_outer("terms").alias("term")).filter(F.col("term").isNotNull())
+    return terms.groupBy("term").agg(F.count("*").alias("total"))
 
 
 @query(

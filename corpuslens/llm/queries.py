@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuslens.llm import decontaminate, packing
+from corpuslens.llm import decontaminate, neardup, packing
 from corpuslens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,33 @@ def tokenizer_path() -> str:
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 tokens."""
     return packing.packed_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+NEAR_SQL = f"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, {sql_words("text", "space")} AS w FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM doc WHERE len(w) > 0)
+), sized AS (
+  SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b
+  WHERE 100 * shared >= 85 * (x.n + y.n - shared)
+), reach(doc_id, other) AS (
+  SELECT a, b FROM links UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+), least_id AS (
+  SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(other, d.doc_id)) AS component_id,
+  d.doc_id <= coalesce(other, d.doc_id) AS kept
+FROM doc d LEFT JOIN sized s ON s.doc_id = d.doc_id LEFT JOIN least_id l ON l.doc_id = d.doc_id
+"""
+
+
+@query("op6_neardup", NEAR_SQL)
+def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under shingle similarity 0.85."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))

@@ -12,7 +12,10 @@ Only narrow rows (a few numbers per piece) are shuffled; texts never are.
 
 from __future__ import annotations
 
+import functools
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -28,16 +31,21 @@ CAPACITY = 2048
 PART_ROWS = 50_000
 ROUNDS = 4
 #: Words whose ids a worker remembers. Only time depends on it.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 1_000_000
 
 PACKED = "row_no long, doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, fill long, part long, round int, part_bins long, part_bound long, release boolean"
 
 
+#: Latin words with at most one mark behind them: one or two pre-tokens, whose last tokens carry the word end.
+PLAIN = re.compile("[A-Za-z\u00df-\u00f6\u00f8-\u00ff\u00c0-\u00d6\u00d8-\u00de]+([.,;:!?])?")
+
+
 class WordEncoder:
     """Ids of whole texts, put together from remembered words.
 
     No token of a pre-tokenised byte-pair vocabulary crosses white space, so the ids of a text are those of its
-    space-separated chunks in order.
+    space-separated chunks in order. New plain words are encoded in one call as one text and parted at the tokens
+    that end a word; other chunks, and all chunks of a vocabulary without word ends, are encoded one by one.
     """
 
     def __init__(self, path: str, limit: int = CACHE_WORDS):
@@ -45,23 +53,47 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        self.ends = None
+        if suffix:
+            vocabulary = self.tokenizer.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[n for token, n in vocabulary.items() if token.endswith(suffix)]] = True
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [text.split() for text in texts]
-        wanted = set().union(*split) if split else set()
         if len(self.known) > self.limit:
             self.known = {}
-        missing = [w for w in wanted if w not in self.known]
-        for first in range(0, len(missing), 10_000):
-            words = missing[first : first + 10_000]
-            coded = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-            self.known.update((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(words, coded))
         known = self.known
+        plain, marked, other = [], [], []
+        for word in set().union(*split).difference(known) if split else ():
+            text = word.decode("utf-8", "replace")
+            match = PLAIN.fullmatch(text) if self.ends is not None else None
+            (other if match is None else marked if match[1] else plain).append((word, text))
+        for words, pretokens in ((plain, 1), (marked, 2)):
+            if words:
+                joined = self.tokenizer.encode_batch_fast([" ".join(t for _, t in words)], add_special_tokens=False)[0]
+                ids = np.array(joined.ids, "<u4")
+                cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4)[pretokens - 1 :: pretokens].tolist()
+                data, first = ids.tobytes(), 0
+                for (word, _), cut in zip(words, cuts, strict=True):
+                    known[word] = data[first:cut]
+                    first = cut
+        for first in range(0, len(other), 10_000):
+            words = other[first : first + 10_000]
+            coded = self.tokenizer.encode_batch_fast([t for _, t in words], add_special_tokens=False)
+            known.update((w, np.array(c.ids, "<u4").tobytes()) for (w, _), c in zip(words, coded))
         for words in split:
             yield b"".join([known[w] for w in words])
 
 
+@functools.cache
+def encoder(path: str) -> WordEncoder:
+    """One per worker process, so that its words stay known from task to task."""
+    return WordEncoder(path)
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece: row_no (unique), doc_id, piece, start, length, ids_crc32.
 
@@ -74,12 +106,12 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, target = WordEncoder(tokenizer), arrow_schema(schema)
+        words, target = encoder(tokenizer), arrow_schema(schema)
         row_no = TaskContext.get().partitionId() << 40
         for batch in slices(batches, "__text", 2 << 20):
             rows = []
             keys = batch.column("doc_id").to_pylist()
-            for doc_id, ids in zip(keys, encoder.encode([data or b"" for data in utf8(batch.column("__text"))])):
+            for doc_id, ids in zip(keys, words.encode([data or b"" for data in utf8(batch.column("__text"))])):
                 ids += end
                 for piece, first in enumerate(range(0, len(ids), 4 * capacity)):
                     cut = ids[first : first + 4 * capacity]

@@ -177,7 +177,7 @@ def links(classes: DataFrame, docs: DataFrame, width: int = WIDTH, percent: int
     members = materialize(members, "members")
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").where("rep IS NOT NULL")
     wanted = members.select("rep").distinct()
-    texts = materialize(texts.join(wanted, "rep", "left_semi"), "texts")
+    texts = materialize(texts.hint("merge").join(wanted, "rep", "left_semi"), "texts")
     # with one block a bucket is one group; else each block meets itself and every other one
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     paired = members.select("rep", "band", "block", other.alias("other"))

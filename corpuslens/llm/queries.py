@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpuslens.llm import decontaminate, neardup, packing
-from corpuslens.llm.common import table
+from corpuslens.llm import decontaminate, neardup, packing, toxicity
+from corpuslens.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,3 +104,15 @@ FROM doc d LEFT JOIN sized s ON s.doc_id = d.doc_id LEFT JOIN least_id l ON l.do
 def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents under shingle similarity 0.85."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a field fitted without the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    chain = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    value = F.col("toxicity.score")
+    return toxicity.score(docs, chain).select(
+        "doc_id", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), value.alias("score"),
+        (value >= toxicity.THRESHOLD).cast("int").alias("predicted"), F.size("toxicity.spans").alias("n_spans"),
+    )

@@ -70,3 +70,11 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20)
 def crc_mod(key: Column, modulus: int) -> Column:
     """``crc32`` of the key as text, modulo; a null key counts as empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def fresh_name(wanted: str, taken: list[str]) -> str:
+    """A column name that is not taken; case does not count."""
+    lowered = {name.lower() for name in taken}
+    while wanted.lower() in lowered:
+        wanted += "_"
+    return wanted

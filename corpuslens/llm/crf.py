@@ -35,6 +35,8 @@ class Chain:
     weights: np.ndarray = field(default_factory=lambda: np.zeros(1 << TABLE_BITS, "float32"))
     #: log weights of the transitions [from, to]
     moves: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
+    #: weights of a text's summary (see ``toxicity.summary``)
+    head: np.ndarray = field(default_factory=lambda: np.array([-6.0, 1.0, 0.0, 0.0]))
 
     def emission(self, word: bytes) -> float:
         return float(self.weights[features(word)].sum())

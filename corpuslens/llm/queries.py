@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.llm import decontaminate, neardup, packing, toxicity
+from corpuslens.llm import decontaminate, html, neardup, packing, toxicity, warc
 from corpuslens.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,3 +116,30 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), value.alias("score"),
         (value >= toxicity.THRESHOLD).cast("int").alias("predicted"), F.size("toxicity.spans").alias("n_spans"),
     )
+
+
+@query("op2_main_text")
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+WARC_SQL = """
+WITH page AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), named AS (
+  SELECT page_id, octet_length(payload) AS size, sha1(payload) AS digest,
+    CASE WHEN octet_length(payload) >= 1000 THEN max(page_id) OVER (PARTITION BY payload) ELSE page_id END AS first
+  FROM page
+)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN first <> page_id OR page_id IS NULL AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first <> page_id OR page_id IS NULL THEN first END AS refers_to
+FROM named
+"""
+
+
+@query("op4_warc", WARC_SQL)
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to a content-addressed archive and read back."""
+    return warc.read(spark, warc.write(table(spark, sf_dir, "pages"))).drop("url", "payload")

@@ -229,3 +229,17 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, part_rows: int = PART_ROWS
 def packed_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     packed = pack(token_pieces(docs, tokenizer, capacity), capacity)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "round", "part_bins", "part_bound")
+
+
+def id_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """doc_id, source, lang, tokens: how many ids each text has, without an end id; null texts have none."""
+    schema = fields("doc_id long, source string, lang string, tokens long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", F.col("text").alias("__text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, target = encoder(tokenizer), arrow_schema(schema)
+        for batch in slices(batches, "__text", 2 << 20):
+            counts = [len(ids) // 4 for ids in words.encode([data or b"" for data in utf8(batch.column("__text"))])]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).cast(target.field(c).type) for c in ("doc_id", "source", "lang")], pa.array(counts, pa.int64())], schema=target)
+
+    return rows.mapInArrow(run, schema)

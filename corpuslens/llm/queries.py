@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.llm import decontaminate, html, neardup, packing, toxicity, warc
+from corpuslens.llm import decontaminate, html, license, neardup, packing, rollup, toxicity, warc
 from corpuslens.llm.common import crc_mod, table
+from corpuslens.sources.tables import materialize, shared_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -143,3 +145,75 @@ FROM named
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to a content-addressed archive and read back."""
     return warc.read(spark, warc.write(table(spark, sf_dir, "pages"))).drop("url", "payload")
+
+
+def sql_list(values) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+LICENSE_SQL = f"""
+WITH doc AS (
+  SELECT doc_id, {sql_words("text")} AS w, text FROM documents
+), phrase(words, label) AS (
+  VALUES {", ".join(f"({sql_list(p.split())}, '{label}')" for p, label in license.PHRASES.items())}
+), place AS (
+  SELECT doc_id, label, unnest(list_filter(range(0, greatest(len(w) - len(words) + 1, 0)), lambda i: w[i + 1:i + len(words)] = words)) AS i
+  FROM doc, phrase WHERE list_has_all(w, words)
+), base AS (
+  SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list(DISTINCT label) AS named FROM place GROUP BY doc_id
+), template(label, words) AS (
+  VALUES {", ".join(f"('{label}', {sql_list(sorted(set(t.split())))})" for label, t in license.TEMPLATES)}
+), line AS (
+  SELECT doc_id, list_distinct({sql_words("line")}) AS tokens FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM doc)
+), part AS (
+  SELECT doc_id, label, len(list_intersect(words, tokens)) / len(words) AS part FROM line, template
+), matched AS (
+  SELECT doc_id, list(DISTINCT label) AS more, max(part) AS part FROM part WHERE part >= {license.THRESHOLD} GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+  CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+  array_to_string(list_sort(coalesce(named, [])), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(named, []), coalesce(more, [])))), ',') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(part, 0)::DOUBLE END AS score
+FROM doc LEFT JOIN base USING (doc_id) LEFT JOIN matched USING (doc_id)
+"""
+
+
+@query("op9_license", LICENSE_SQL)
+def op9_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases and licence notices in all documents."""
+    return license.scan(table(spark, sf_dir, "documents"))
+
+
+ROLLUP_SQL = """
+WITH counted AS (
+  SELECT source, lang, n_chars, unnest([
+    {'tokenizer': 'space-1', 'tokens': len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))},
+    {'tokenizer': 'alnum-1', 'tokens': len(regexp_extract_all(coalesce(text, ''), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'))}]) AS c
+  FROM documents
+)
+SELECT source, lang, c.tokenizer AS tokenizer,
+  CAST(sum(CASE WHEN n_chars < 200 THEN 0 ELSE 1 END) AS BIGINT) AS docs,
+  CAST(sum(CASE WHEN n_chars < 200 THEN 0 WHEN c.tokenizer = 'space-1' THEN c.tokens + 1 ELSE c.tokens END) AS BIGINT) AS tokens,
+  CAST(sum(CASE WHEN n_chars < 200 THEN 2 WHEN c.tokenizer = 'space-1' THEN 2 ELSE 1 END) AS BIGINT) AS changes
+FROM counted GROUP BY ALL
+"""
+
+
+@query("op8_token_counts", ROLLUP_SQL)
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after four batches over all documents: a load, a deletion, a revision, and the load once more.
+
+    Short documents (under 200 characters) are deleted again; in the revision the first tokenizer counts an end
+    token for every document that stayed.
+    """
+    counts = materialize(rollup.counted(table(spark, sf_dir, "documents")), "counts")
+    book = rollup.Rollup(spark, f"{shared_root(spark)}/corpuslens/rollup-{uuid.uuid4().hex}")
+    short = F.coalesce(F.col("n_chars") < 200, F.lit(False))
+    book.commit("load", rollup.inserts(counts))
+    book.commit("short", rollup.deletes(counts.where(short)))
+    book.compact()
+    revised = counts.where(~short & (F.col("tokenizer") == "space-1")).withColumnsRenamed({"tokens": "was"}).withColumn("tokens", F.col("was") + 1)
+    book.commit("end-token", rollup.revisions(revised))
+    book.commit("load", rollup.inserts(counts))
+    return book.totals()

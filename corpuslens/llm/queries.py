@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.llm import decontaminate, html, license, neardup, packing, rollup, toxicity, warc
+from corpuslens.llm import ann, decontaminate, html, license, neardup, packing, rollup, toxicity, warc
 from corpuslens.llm.common import crc_mod, table
 from corpuslens.sources.tables import materialize, shared_root
 
@@ -217,3 +217,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     book.commit("end-token", rollup.revisions(revised))
     book.commit("load", rollup.inserts(counts))
     return book.totals()
+
+
+
+
+@query("op7_neighbours")
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every twentieth vector."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.llm import ann, decontaminate, html, license, neardup, packing, rollup, toxicity, warc
+from corpuslens.llm import ann, decontaminate, html, license, lm, neardup, packing, rollup, toxicity, warc
 from corpuslens.llm.common import crc_mod, table
 from corpuslens.sources.tables import materialize, shared_root
 
@@ -225,3 +225,9 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest rows of every twentieth vector."""
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op3_lm")
+def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interpolated bigram scores of all documents."""
+    return lm.score(table(spark, sf_dir, "documents"))

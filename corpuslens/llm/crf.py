@@ -158,9 +158,11 @@ def lexicon(texts: list[tuple[int, list[bytes]]], ratio: float = 10.0) -> set[by
     return picked
 
 
-def fit(texts: list[tuple[int, list[bytes]]], epochs: int = 6, batch_words: int = 150_000, rate: float = 0.15, ridge: float = 1e-6) -> Chain:
+def fit(texts: list[tuple[int, list[bytes]]], epochs: int = 6, updates: int = 80, batch_words: int = 150_000, rate: float = 0.15, ridge: float = 1e-6) -> Chain:
     """Penalised maximum likelihood by Adam over batches of whole texts, in the given order.
 
+    There are ``epochs`` rounds over the texts, or more if these would be fewer than ``updates`` steps.
+
     Words of toxic texts that carry evidence are labelled 1, all others 0. Without toxic texts or evidence the
     chain keeps zero weights and a bias that makes every word clean.
     """
@@ -189,6 +191,7 @@ def fit(texts: list[tuple[int, list[bytes]]], epochs: int = 6, batch_words: int
             held = 0
         batches[-1].append(at)
         held += len(coded[at])
+    epochs = max(epochs, -(-updates // len(batches)))
     step = 0
     for epoch in range(epochs):
         for batch in batches:

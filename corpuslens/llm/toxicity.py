@@ -48,7 +48,8 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, key: str
     share = F.create_map(*[F.lit(x) for c in (0, 1) for x in (c, min(1.0, fit_rows / counts.get(c, 1)))])
     unit = (F.crc32(F.concat(F.lit("fit "), F.col("__id").cast("string")).cast("binary")) / float(1 << 32)).cast("double")
     picked = marked.where(F.col("__toxic").isin(0, 1) & (unit < share[F.col("__toxic")]))
-    rows = docs.select(F.col(key).alias("__id"), F.col(text).alias("__text")).where("__text IS NOT NULL").join(picked, "__id").select("__id", "__toxic", "__text").toArrow()
+    rows = docs.select(F.col(key).alias("__id"), F.col(text).alias("__text")).where("__text IS NOT NULL").join(F.broadcast(picked), "__id").select("__id", "__toxic", "__text").toArrow()
+    # the ids are broadcast: there are about 2 * fit_rows of them at any size of the tables
     # copies of a text, and rows of a repeated id, once; in the order of a hash, so that batches are mixed
     once = {t: (label, i) for i, label, t in sorted(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), utf8(rows.column(2))), reverse=True)}
     order = sorted(once.items(), key=lambda item: (item[1][1] * 2654435761 % (1 << 32), item[1][1]))

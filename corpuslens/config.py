@@ -71,11 +71,13 @@ class ModelOptions:
         "linear_svm",
     )
     logistic_c: float = 2.0
-    logistic_max_iter: int = 100
+    # Limits of iterative fits; a fit that reaches one warns and is marked as not converged.
+    logistic_max_iter: int = 2000
     svm_c: float = 1.0
-    svm_max_iter: int = 30
+    svm_max_iter: int = 1000
     passive_aggressive_c: float = 0.5
-    passive_aggressive_epochs: int = 10
+    passive_aggressive_epochs: int = 1500
+    passive_aggressive_shards: int = 8
     naive_bayes_alpha: float = 0.5
 
 

@@ -19,3 +19,9 @@ def seeded(key: Column, seed: int) -> Column:
 def unit(hashed: Column) -> Column:
     """Map a 60-bit hash to [0, 1)."""
     return hashed / F.lit(float(1 << 60))
+
+
+def fields_digest(*fields: Column) -> Column:
+    """SHA-256 of several texts as bytes; a null differs from an empty text, and lengths keep the fields apart."""
+    parts = [F.coalesce(F.concat(F.length(f), F.lit(":"), f), F.lit("-")) for f in (c.cast("string") for c in fields)]
+    return F.unhex(F.sha2(F.concat(*parts), 256))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuslens.errors import DataContractError
+from corpuslens.functions.hashing import fields_digest
 from corpuslens.sources.tables import materialize
 
 # Ids that may be broadcast to drop duplicates without shuffling the wide table.
@@ -16,12 +18,8 @@ BROADCAST_IDS = 4_000_000
 
 
 def exact_key() -> Column:
-    """Digest of (title, text, label); the length prefix keeps the fields apart."""
-    title, text = F.col("title"), F.col("text")
-    label = F.coalesce(F.col("label").cast("string"), F.lit(""))
-    return F.unhex(
-        F.sha2(F.concat(F.length(title), F.lit(":"), title, text, F.lit("|"), label), 256)
-    )
+    """Digest of (title, text, label)."""
+    return fields_digest(F.col("title"), F.col("text"), F.col("label"))
 
 
 def first_per_key(df: DataFrame, key: Column) -> DataFrame:
@@ -92,7 +90,12 @@ def keep_ids(df: DataFrame, kept: DataFrame, removed_rows: int | None = None) ->
 
 
 def remove_duplicates(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Surviving rows and the accounting row. The narrow group table is written once."""
+    """Surviving rows and the accounting row. The narrow group table is written once.
+
+    Ids decide which copy is the first, so rows without an id are refused.
+    """
+    if not df.filter(F.col("row_id").isNull()).isEmpty():
+        raise DataContractError("row_id holds nulls")
     groups = materialize(hash_groups(df), "hash-groups")
     stats = dedup_stats(groups)
     counts = stats.first()

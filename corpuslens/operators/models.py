@@ -6,13 +6,14 @@ and storing need a single form.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.classification import LogisticRegression as MLLogistic
-from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +34,9 @@ class LinearModel:
     link: str
     # Naive Bayes and the majority class score linearly but publish no coefficients.
     explainable: bool = True
+    # Passes over the rows, and whether the fit ended before its limit; closed forms need none.
+    iterations: int = 0
+    converged: bool = True
 
     @property
     def score_kind(self) -> str:
@@ -115,149 +119,159 @@ def fit_naive_bayes(df: DataFrame, size: int, alpha: float = 0.5) -> LinearModel
     return LinearModel("naive_bayes", theta[1] - theta[0], prior, "sigmoid", False)
 
 
-def _with_bias(df: DataFrame, size: int) -> DataFrame:
-    """Append a constant feature, so that the penalty covers the intercept too."""
-    @F.arrow_udf(VectorUDT())
-    def extend(vectors):
-        lengths, index, value = sparse.unpack(vectors)
-        ends = np.cumsum(lengths)
-        return sparse.pack(
-            size + 1, lengths + 1, np.insert(index, ends, size), np.insert(value, ends, 1.0)
-        )
+def _weighted(df: DataFrame) -> tuple[DataFrame, float]:
+    """(features, label, weight) with balanced weights, and the sum of the weights."""
+    counts = class_counts(df)
+    weights = balanced(counts)
+    data = df.select("features", F.col("label").cast("double"), _weight_column(weights).alias("weight"))
+    return data, sum(weights[k] * n for k, n in counts.items())
 
-    return df.withColumn("features", extend("features"))
 
+def _fitted(name: str, fitted, iterations: int, limit: int, link: str) -> LinearModel:
+    if iterations >= limit:
+        warnings.warn(f"{name} stopped at its limit of {limit} iterations", stacklevel=3)
+    return LinearModel(
+        name, fitted.coefficients.toArray(), float(fitted.intercept), link, True, iterations, iterations < limit
+    )
 
-def fit_logistic(df: DataFrame, size: int, c: float = 2.0, max_iter: int = 200) -> LinearModel:
-    """Balanced L2 logistic regression; the penalised intercept is the weight of a bias feature.
+
+def fit_logistic(df: DataFrame, size: int, c: float = 2.0, max_iter: int = 2000) -> LinearModel:
+    """Balanced L2 logistic regression; the intercept is fitted without a penalty.
 
     ``1/2 |w|^2 + C sum(s_i loss_i)`` equals the MLlib objective with regParam ``1 / (C sum(s_i))``.
     """
-    counts = class_counts(df)
-    weights = balanced(counts)
-    total = sum(weights[k] * n for k, n in counts.items())
-    data = _with_bias(df, size).select(
-        "features", F.col("label").cast("double"), _weight_column(weights).alias("weight")
-    )
+    data, total = _weighted(df)
     fitted = MLLogistic(
         weightCol="weight",
         regParam=1.0 / (c * total),
         elasticNetParam=0.0,
         standardization=False,
-        fitIntercept=False,
+        fitIntercept=True,
         maxIter=max_iter,
         tol=1e-5,
     ).fit(data)
-    w = fitted.coefficients.toArray()
-    return LinearModel("logistic_regression", w[:size], float(w[size]), "sigmoid")
+    return _fitted("logistic_regression", fitted, fitted.summary.totalIterations, max_iter, "sigmoid")
 
 
-def fit_linear_svm(df: DataFrame, size: int, c: float = 1.0, max_iter: int = 50) -> LinearModel:
-    """Balanced linear support vector machine (hinge loss)."""
-    counts = class_counts(df)
-    weights = balanced(counts)
-    total = sum(weights[k] * n for k, n in counts.items())
-    data = _with_bias(df, size).select(
-        "features", F.col("label").cast("double"), _weight_column(weights).alias("weight")
-    )
+def fit_linear_svm(df: DataFrame, size: int, c: float = 1.0, max_iter: int = 1000) -> LinearModel:
+    """Balanced linear support vector machine (hinge loss); the intercept is fitted without a penalty."""
+    data, total = _weighted(df)
     fitted = LinearSVC(
         weightCol="weight",
         regParam=1.0 / (c * total),
         standardization=False,
-        fitIntercept=False,
+        fitIntercept=True,
         maxIter=max_iter,
-        tol=1e-5,
+        tol=1e-4,
     ).fit(data)
-    w = fitted.coefficients.toArray()
-    return LinearModel("linear_svm", w[:size], float(w[size]), "margin")
+    return _fitted("linear_svm", fitted, fitted.summary().totalIterations, max_iter, "margin")
 
 
 def fit_passive_aggressive(
-    df: DataFrame, size: int, c: float = 0.5, epochs: int = 10, tolerance: float = 1e-3
+    df: DataFrame,
+    size: int,
+    c: float = 0.5,
+    epochs: int = 1500,
+    tolerance: float = 1e-3,
+    patience: int = 5,
+    shards: int = 8,
 ) -> LinearModel:
     """Averaged passive-aggressive learning by iterative parameter mixing.
 
-    Each task makes one pass over its rows from the shared weights and returns its change and the
-    mean of its weights; changes are mixed in proportion to rows. Training stops when the loss no
-    longer falls. The driver holds a few vectors of the capped vocabulary size.
+    Rows belong to one of ``shards`` by a hash of ``row_id`` and stand in the order of that hash, so the result
+    does not depend on how the input is partitioned. In each epoch every shard makes one pass over
+    its rows from the shared weights and returns its change and the mean of its weights; changes are
+    mixed in proportion to rows. Training stops after ``patience`` epochs without a smaller loss. The
+    driver holds a few vectors of the capped vocabulary size per shard.
     """
     weights = balanced(class_counts(df))
-    data = _with_bias(df, size).select("features", "label")
+    hashed = F.xxhash64("row_id")
+    data = (
+        df.select(F.pmod(hashed, F.lit(shards)).cast("int").alias("shard"), hashed.alias("place"), "row_id", "features", "label")
+        .repartition(shards, "shard")
+        .sortWithinPartitions("shard", "place", "row_id")
+        .select("shard", "features", "label")
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
     current = np.zeros(size + 1)
     averaged = np.zeros(size + 1)
-    best = np.inf
-    done = 0
-    for _ in range(epochs):
-        start = current
-
-        def one_pass(batches, start=start):
-            w, mean = start.copy(), np.zeros_like(start)
-            rows, loss_sum = 0, 0.0
-            for batch in batches:
-                lengths, index, value = sparse.unpack(batch.column("features"))
-                labels = np.asarray(batch.column("label"))
-                ends = np.cumsum(lengths)
-                for i, end in enumerate(ends):
-                    ix, x = index[end - lengths[i] : end], value[end - lengths[i] : end]
-                    y = 1.0 if labels[i] == 1 else -1.0
-                    loss = max(0.0, 1.0 - y * float(w[ix] @ x))
-                    rows += 1
-                    if loss > 0.0:
-                        step = min(c * weights[int(labels[i])], loss / float(x @ x)) * y
-                        w[ix] += step * x
-                        # The mean over rows, kept sparse: an update counts from this row on.
-                        mean[ix] += step * x * (rows - 1)
-                    loss_sum += loss
-            if rows:
-                mean = w - mean / rows
-                changed = np.flatnonzero((w != start) | (mean != start))
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "index": pa.array(np.append(changed, -1), pa.int32()),
-                        "delta": pa.array(np.append((w - start)[changed], loss_sum)),
-                        "mean": pa.array(np.append((mean - start)[changed], 0.0)),
-                        "rows": pa.array(np.full(len(changed) + 1, rows), pa.int64()),
-                    }
-                )
-
-        schema = "index int, delta double, mean double, rows bigint"
-        mixed = (
-            data.mapInArrow(one_pass, schema)
-            .groupBy("index")
-            .agg(
-                F.sum(
-                    F.when(F.col("index") == -1, F.col("delta")).otherwise(
-                        F.col("delta") * F.col("rows")
-                    )
-                ).alias("delta"),
-                F.sum(F.col("mean") * F.col("rows")).alias("mean"),
-                F.sum("rows").alias("rows"),
-            )
-            .toArrow()
-        )
-        index, change, centre, rows = (
-            mixed.column(c).to_numpy() for c in ("index", "delta", "mean", "rows")
+    best, waited, done = np.inf, 0, 0
+
+    def finished(shard, start, w, mean, rows, loss):
+        mean = w - mean / rows
+        changed = np.flatnonzero((w != start) | (mean != start))
+        return pa.RecordBatch.from_pydict(
+            {
+                "shard": pa.array(np.full(len(changed) + 1, shard), pa.int32()),
+                "index": pa.array(np.append(changed, -1), pa.int32()),
+                "delta": pa.array(np.append((w - start)[changed], loss)),
+                "mean": pa.array(np.append((mean - start)[changed], 0.0)),
+                "rows": pa.array(np.full(len(changed) + 1, rows), pa.int64()),
+            }
         )
-        summary = index == -1
-        if not summary.any():
-            break
-        total, loss = rows[summary][0], change[summary][0] / rows[summary][0]
-        delta, mean = np.zeros(size + 1), np.zeros(size + 1)
-        delta[index[~summary]] = change[~summary] / total
-        mean[index[~summary]] = centre[~summary] / total
-        averaged = (averaged * done + current + mean) / (done + 1)
-        current = current + delta
-        done += 1
-        if loss > best - tolerance:
-            break
-        best = min(best, loss)
-    return LinearModel("passive_aggressive", averaged[:size], float(averaged[size]), "margin")
+
+    try:
+        while done < epochs and waited < patience:
+            start = current
+
+            def one_pass(batches, start=start):
+                shard = None
+                for batch in batches:
+                    lengths, index, value = sparse.unpack(batch.column("features"))
+                    labels = np.asarray(batch.column("label"))
+                    shard_of = np.asarray(batch.column("shard"))
+                    ends = np.cumsum(lengths)
+                    for i, end in enumerate(ends):
+                        if shard_of[i] != shard:
+                            if shard is not None:
+                                yield finished(shard, start, w, mean, rows, loss_sum)
+                            shard, rows, loss_sum = shard_of[i], 0, 0.0
+                            w, mean = start.copy(), np.zeros_like(start)
+                        ix, x = index[end - lengths[i] : end], value[end - lengths[i] : end]
+                        y = 1.0 if labels[i] == 1 else -1.0
+                        # the last weight is the intercept's, on a feature of 1
+                        loss = max(0.0, 1.0 - y * (float(w[ix] @ x) + w[size]))
+                        rows += 1
+                        if loss > 0.0:
+                            step = min(c * weights[int(labels[i])], loss / (float(x @ x) + 1.0)) * y
+                            w[ix] += step * x
+                            w[size] += step
+                            # The mean over rows, kept sparse: an update counts from this row on.
+                            mean[ix] += step * x * (rows - 1)
+                            mean[size] += step * (rows - 1)
+                        loss_sum += loss
+                if shard is not None:
+                    yield finished(shard, start, w, mean, rows, loss_sum)
+
+            schema = "shard int, index int, delta double, mean double, rows bigint"
+            mixed = data.mapInArrow(one_pass, schema).toArrow().sort_by([("shard", "ascending"), ("index", "ascending")])
+            index, change, centre, rows = (mixed.column(k).to_numpy() for k in ("index", "delta", "mean", "rows"))
+            summary = index == -1
+            if not summary.any():
+                break
+            total = rows[summary].sum()
+            loss = change[summary].sum() / total
+            index, change, centre, rows = (k[~summary] for k in (index, change, centre, rows))
+            delta = np.bincount(index, change * rows, size + 1) / total
+            mean = np.bincount(index, centre * rows, size + 1) / total
+            averaged = (averaged * done + current + mean) / (done + 1)
+            current = current + delta
+            done += 1
+            waited = 0 if loss < best - tolerance else waited + 1
+            best = min(best, loss)
+    finally:
+        data.unpersist()
+    if done >= epochs and waited < patience:
+        warnings.warn(f"passive_aggressive stopped at its limit of {epochs} epochs", stacklevel=2)
+    return LinearModel(
+        "passive_aggressive", averaged[:size], float(averaged[size]), "margin", True, done, done < epochs or waited >= patience
+    )
 
 
 def fit_classifier(
     name: str, df: DataFrame, size: int, o: ModelOptions = ModelOptions()
 ) -> LinearModel:
-    """Fit one named candidate on (label, features)."""
+    """Fit one named candidate on (row_id, label, features)."""
     if name == "dummy":
         return fit_majority(df, size)
     if name == "naive_bayes":
@@ -266,7 +280,7 @@ def fit_classifier(
         return fit_logistic(df, size, o.logistic_c, o.logistic_max_iter)
     if name == "passive_aggressive":
         return fit_passive_aggressive(
-            df, size, o.passive_aggressive_c, o.passive_aggressive_epochs
+            df, size, o.passive_aggressive_c, o.passive_aggressive_epochs, shards=o.passive_aggressive_shards
         )
     if name == "linear_svm":
         return fit_linear_svm(df, size, o.svm_c, o.svm_max_iter)

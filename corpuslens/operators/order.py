@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
@@ -135,15 +136,18 @@ def running_totals(
 
     Rows are first added up per key value. The key range is cut at approximate quantiles of the
     distinct values, bucket totals become offsets (a table of at most ``buckets`` rows), and each
-    bucket accumulates on its own. Bucket edges only steer the work; the totals are exact.
+    bucket accumulates on its own. Bucket edges only steer the work; the totals are exact. Infinite keys go to the
+    outer buckets and NaN counts as the largest key, as in Spark's order.
     """
     grouped = df.groupBy(key).agg(*[F.sum(c).alias(c) for c in sums])
     probes = [i / buckets for i in range(1, buckets)]
     edges = grouped.agg(F.percentile_approx(key, probes, 100 * buckets // 10)).first()[0] or []
-    inner = sorted(set(edges))
-    bucketed = Bucketizer(
-        splits=[float("-inf"), *inner, float("inf")], inputCol=key, outputCol="__bucket"
-    ).transform(grouped)
+    inner = sorted({e for e in edges if math.isfinite(e)})
+    bucketed = grouped.withColumn("__bucket", F.lit(0))
+    if inner:
+        bucketed = Bucketizer(
+            splits=[float("-inf"), *inner, float("inf")], inputCol=key, outputCol="__bucket", handleInvalid="keep"
+        ).transform(grouped)
     sign = -1 if descending else 1
     bucketed = bucketed.withColumn("__bucket", (F.lit(sign) * F.col("__bucket")).cast("int"))
     earlier = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)

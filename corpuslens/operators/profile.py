@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from corpuslens.functions import text as tx
 from corpuslens.functions import tokens as tk
 from corpuslens.functions.dates import parse_date
+from corpuslens.functions.hashing import fields_digest
 from corpuslens.functions.stopwords import ENGLISH
 
 MEASURES = ("headline_words", "article_words", "word_count", "characters")
@@ -34,9 +35,7 @@ def missing_values(df: DataFrame) -> DataFrame:
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Rows beyond the first of each (title, text)."""
-    title, text = F.col("title"), F.col("text")
-    key = F.unhex(F.sha2(F.concat(F.length(title), F.lit(":"), title, text), 256))
-    groups = df.groupBy(key.alias("k")).agg(F.count("*").alias("n"))
+    groups = df.groupBy(fields_digest(F.col("title"), F.col("text")).alias("k")).agg(F.count("*").alias("n"))
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 

@@ -27,12 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores when the input has fewer file splits than the session has cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _titled(df: DataFrame) -> DataFrame:
     title = F.substring_index("text", "\n", 1)
     return df.withColumns({"title": title, "body": F.substring("text", F.length(title) + 2, F.length("text"))})
@@ -41,7 +35,7 @@ def _titled(df: DataFrame) -> DataFrame:
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    joined = _titled(spread(documents.join(labels, "doc_id")))
+    joined = _titled(documents.join(labels, "doc_id"))
     return joined.select(
         F.col("doc_id").alias("row_id"),
         "title",
@@ -52,7 +46,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def collection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _titled(spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source")))
+    documents = _titled(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return documents.select(
         F.col("doc_id").alias("row_id"),
         "title",

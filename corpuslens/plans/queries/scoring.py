@@ -158,7 +158,7 @@ def score_batch(spark, sf_dir):
     turns = fx.table(spark, sf_dir, "conversations").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("row_id"), "text"
     )
-    record = sc.predict(fx.spread(turns), model)
+    record = sc.predict(turns, model)
     return record.select(
         "row_id",
         F.col("label_predicted").alias("label"),

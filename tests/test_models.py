@@ -59,6 +59,7 @@ def test_logistic_gradient_vanishes(clean, logistic):
     rows = with_features(clean, member.features).collect()
     w = np.append(member.linear.coefficients, member.linear.intercept)
     gradient = w.copy()
+    gradient[-1] = 0.0  # the intercept has no penalty
     for r in rows:
         x = np.append(r["features"].toArray(), 1.0)
         y = 1.0 if r["label"] == 1 else -1.0
@@ -164,3 +165,37 @@ def test_stream_equals_batch(spark, logistic, tmp_path):
 def test_calibrator_shapes():
     knots = Calibrator("isotonic", np.array([0.0, 1.0]), np.array([0.2, 0.8]))
     assert np.allclose(knots.apply(np.array([-1.0, 0.5, 2.0])), [0.2, 0.5, 0.8])
+
+
+def _vectors(spark, rows):
+    from pyspark.ml.linalg import Vectors
+
+    return spark.createDataFrame(
+        [(i, y, Vectors.sparse(2, {0: float(x), 1: 1.0 if i % 3 else 0.5})) for i, (x, y) in enumerate(rows)],
+        ["row_id", "label", "features"],
+    )
+
+
+@pytest.mark.parametrize("name", ["logistic_regression", "linear_svm", "passive_aggressive"])
+def test_shifted_unbalanced_classes_need_an_intercept(spark, name):
+    from corpuslens.operators.models import fit_classifier, margin
+
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.uniform(0.0, 0.65, 360), rng.uniform(0.75, 1.0, 40)])
+    scale = 1 if name == "passive_aggressive" else 20
+    rows = _vectors(spark, [(v * scale, int(v > 0.7)) for v in x])
+    model = fit_classifier(name, rows, 2)
+    right = rows.filter((margin(model) > 0) == (F.col("label") == 1)).count()
+    assert right >= (390 if name == "passive_aggressive" else 400)
+    assert model.intercept < 0 and model.iterations > 0 and model.converged
+
+
+def test_passive_aggressive_does_not_depend_on_partitions(spark):
+    from corpuslens.operators.models import fit_passive_aggressive
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=300)
+    rows = _vectors(spark, [(v, int(v + 0.3 * rng.normal() > 0.4)) for v in x])
+    fits = [fit_passive_aggressive(rows.repartition(n), 2, epochs=7) for n in (1, 4, 16)]
+    for other in fits[1:]:
+        assert (other.coefficients == fits[0].coefficients).all() and other.intercept == fits[0].intercept

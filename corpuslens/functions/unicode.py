@@ -37,7 +37,8 @@ SPACE_SPANS = (
 SPACES = r"\s\x1c-\x1f\x85\p{Z}"
 SPACE_CHARS = "".join(chr(c) for low, high in SPACE_SPANS for c in range(low, high + 1))
 WORD = r"\p{L}\p{N}_"
-CURLY_APOSTROPHES = chr(0x2019) + chr(0x2018)
+# Apostrophes read as the plain one.
+CURLY_APOSTROPHES = "’‘"
 COMBINING = _ranges(
     ((0x300, 0x36F), (0x1AB0, 0x1AFF), (0x1DC0, 0x1DFF), (0x20D0, 0x20FF), (0xFE20, 0xFE2F))
 )

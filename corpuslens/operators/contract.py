@@ -15,11 +15,11 @@ LABELS = (0, 1)
 
 def validate(df: DataFrame, required: tuple[str, ...] = ("title", "text")) -> DataFrame:
     """Check columns on the schema and turn missing required text into empty strings."""
-    missing = sorted(set(required) - set(df.columns))
-    if missing:
-        raise DataContractError(f"Dataset is missing required columns: {', '.join(missing)}")
+    lacking = [c for c in required if c not in df.columns]
+    if lacking:
+        raise DataContractError(f"the table has no column {' or '.join(lacking)}")
     if "label" not in df.columns:
-        raise DataContractError("Dataset must contain a numeric label column.")
+        raise DataContractError("the table has no column label, which holds 0 or 1")
     return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in required})
 
 
@@ -40,12 +40,15 @@ def check_labels(df: DataFrame) -> DataFrame:
     bad = (
         df.filter(F.col("label").isNotNull() & ~F.col("label").isin(*LABELS))
         .select("label")
-        .distinct()
-        .limit(20)
-        .collect()
+        .groupBy("label")
+        .agg(F.count("*").alias("rows"))
+        .agg(F.count("*").alias("kinds"), F.min("label").alias("low"), F.max("label").alias("high"), F.sum("rows").alias("rows"))
+        .first()
     )
-    if bad:
-        raise DataContractError(f"Unsupported labels: {sorted(r['label'] for r in bad)}")
+    if bad["kinds"]:
+        raise DataContractError(
+            f"{bad['rows']} rows have a label other than 0 and 1: {bad['kinds']} values from {bad['low']} to {bad['high']}"
+        )
     return df
 
 

@@ -191,11 +191,13 @@ def word_count_histogram(df: DataFrame, bins: int = 35, clip_at: float = 0.99) -
         .when((spot < bins - 1) & (F.col("value") >= low + (spot + 1) * step), spot + 1)
         .otherwise(spot)
     )
-    return (
-        placed.withColumn("bin", exact)
-        .groupBy("label", "bin")
-        .agg(
-            F.first(low + exact * step).alias("lower_edge"),
-            F.sum("n").alias("rows"),
-        )
+    filled = placed.withColumn("bin", exact).groupBy("label", "bin").agg(F.sum("n").alias("rows"))
+    # every bin of every class, empty ones too: two labels times a fixed number of bins
+    every = limits.select(
+        "label", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),
+        "low", ((F.col("high") - F.col("low")) / bins).alias("step"),
+    )
+    return every.join(filled, ["label", "bin"], "left").select(
+        "label", "bin", (F.col("low") + F.col("bin") * F.col("step")).alias("lower_edge"),
+        F.coalesce("rows", F.lit(0)).alias("rows"),
     )

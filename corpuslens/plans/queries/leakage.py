@@ -13,6 +13,7 @@ from corpuslens.plans.queries.registry import query, r6
 _MARKED = f"""{fx.ARTICLES}, {fx.marked_sql('articles')},
 m AS (SELECT *, {fx.content_sql()} AS content FROM marked)"""
 
+# The audited patterns, restated for DuckDB.
 _HITS = {
     "reuters_marker": r"\breuters\b",
     "associated_press_marker": r"\bassociated press\b",
@@ -85,7 +86,11 @@ def leak_terms(spark, sf_dir):
     return lk.associated_terms(lk.term_frequencies(_marked(spark, sf_dir)))
 
 
-@query("leak_mitigation")
+@query(
+    "leak_mitigation",
+    f"""WITH {fx.ARTICLES} SELECT (SELECT count(*) FROM articles) AS audited_rows, CAST(position AS INTEGER) AS position, statement
+        FROM (VALUES {", ".join(f"({i}, {fx.quote(s)})" for i, s in enumerate(lk.MITIGATION, 1))}) v(position, statement)""",
+)
 def leak_mitigation(spark, sf_dir):
     """Report statements next to the audited row count."""
     rows = fx.articles(spark, sf_dir).agg(F.count("*").alias("audited_rows"))

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from corpuslens.config import CharOptions, FeatureOptions, ModelOptions, ProjectOptions
+from corpuslens.config import ProjectOptions
 from corpuslens.operators import models as md
 from corpuslens.operators.calibrate import fit_calibrated, fit_pipeline
 from corpuslens.operators.features import with_features
@@ -45,13 +45,11 @@ def class_weights(spark, sf_dir):
 )
 def fit_majority(spark, sf_dir):
     rows = cleaned(spark, sf_dir)
-    features, linear = fit_pipeline(_train(rows), "dummy", _SMALL)
+    features, linear = fit_pipeline(_train(rows), "dummy")
     scored = scored_labels(rows, TextModel((Member(features, linear),)), "row_id")
     return scored.select("row_id", "prediction", "score")
 
 
-_SMALL = FeatureOptions(char=CharOptions(enabled=False))
-
 _BAYES = f"""WITH {FITTED}, {tfidf_ctes('train')}, sums AS (
   SELECT v.space, v.term, coalesce(sum(weight) FILTER (label = 0), 0) AS s0,
          coalesce(sum(weight) FILTER (label = 1), 0) AS s1
@@ -118,7 +116,7 @@ def cv_summary(spark, sf_dir):
 @query("model_comparison")
 def model_comparison(spark, sf_dir):
     rows = cleaned(spark, sf_dir)
-    options = ProjectOptions(features=_SMALL, models=ModelOptions(svm_max_iter=15))
+    options = ProjectOptions()
     validation = rows.filter(F.col("split") == "validation")
     _, _, lines = compare_candidates(_train(rows), validation, options, cross_validate=False)
     table = spark.createDataFrame(lines, COMPARISON)

@@ -1,4 +1,4 @@
-"""CSV input with a whole-file fallback to Latin-1, and labelled union of sources."""
+"""CSV input bound by header names, with a whole-file fallback to Latin-1, and labelled union of sources."""
 
 from __future__ import annotations
 
@@ -6,53 +6,64 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpuslens.errors import DataContractError
 
-ARTICLE_SCHEMA = T.StructType(
-    [T.StructField(name, T.StringType()) for name in ("title", "text", "subject", "date")]
-)
+#: Columns that the articles may bring; more stay as they are.
+REQUIRED = ("title", "text")
+OPTIONAL = ("subject", "date")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = fs.globStatus(hadoop_path)
-    return found is not None and len(found) > 0
+def file_encodings(spark: SparkSession, path: str) -> DataFrame:
+    """Folder-safe path of every file under ``path`` and whether all its bytes are UTF-8.
+
+    The text source keeps raw bytes, so the check is one splittable scan that ends in a row per file.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.is_valid_utf8("value").alias("good"))
+    return lines.groupBy("file").agg(F.bool_and("good").alias("utf8"))
+
+
+def _plain(uri: str) -> str:
+    """The metadata column quotes blanks and the like; readers want the path itself."""
+    from urllib.parse import unquote
+
+    return unquote(uri)
 
 
-def files_not_utf8(spark: SparkSession, path: str) -> list[str]:
-    """Files under ``path`` holding at least one byte sequence that is not UTF-8.
+def read_articles(spark: SparkSession, path: str, required: tuple[str, ...] = REQUIRED) -> DataFrame:
+    """Article CSV with a header and quoted line breaks; Latin-1 for files that are not UTF-8.
 
-    The text source keeps raw bytes, so the check is a splittable scan that returns file names only.
+    Columns are found by their names, in any order and in each file; all are read as text, spellings such as
+    ``NA`` too, and empty fields are null. A missing required column raises an error, missing optional ones are null.
+    A quoted line break keeps a file from being split; convert large inputs to Parquet once. One line
+    per file reaches the driver.
     """
-    lines = spark.read.text(path)
-    bad = lines.filter(~F.is_valid_utf8("value")).select(F.input_file_name().alias("file"))
-    return [row["file"] for row in bad.distinct().collect()]
-
-
-def read_articles(
-    spark: SparkSession, path: str, schema: T.StructType = ARTICLE_SCHEMA
-) -> DataFrame:
-    """Article CSV with a header and quoted line breaks; Latin-1 for files that are not UTF-8."""
-    if not _exists(spark, path):
-        raise DataContractError(f"Required dataset file is missing: {path}")
-
-    def scan(paths: list[str] | str, encoding: str) -> DataFrame:
-        reader = spark.read.schema(schema).option("header", True).option("multiLine", True)
-        return reader.option("escape", '"').option("encoding", encoding).csv(paths)
-
-    latin = files_not_utf8(spark, path)
-    if not latin:
-        return scan(path, "UTF-8")
-    every = [
-        row["file"]
-        for row in spark.read.text(path).select(F.input_file_name().alias("file")).distinct().collect()
-    ]
-    utf8 = sorted(set(every) - set(latin))
-    fallback = scan(sorted(latin), "ISO-8859-1")
-    return scan(utf8, "UTF-8").unionByName(fallback) if utf8 else fallback
+    try:
+        files = file_encodings(spark, path).collect()
+    except Exception as problem:
+        if "PATH_NOT_FOUND" in str(problem):
+            raise DataContractError(f"no such input: {path}") from problem
+        raise
+
+    def scan(encoding: str, paths: list[str]) -> list[DataFrame]:
+        # files of one folder may differ in their headers, and the reader looks at one header only
+        reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("encoding", encoding)
+        groups: dict[tuple[str, ...], list[str]] = {}
+        for name in paths:
+            groups.setdefault(tuple(reader.csv(name).columns), []).append(name)
+        return [reader.csv(names) for names in groups.values()]
+
+    parts = []
+    for encoding, wanted in (("UTF-8", True), ("ISO-8859-1", False)):
+        parts += scan(encoding, sorted(_plain(r["file"]) for r in files if bool(r["utf8"]) == wanted))
+    if not parts:
+        raise DataContractError(f"no rows and no header: {path}")
+    for part in parts:
+        lacking = sorted(set(required) - set(part.columns))
+        if lacking:
+            raise DataContractError(f"a file has no column {' or '.join(lacking)}: {part.inputFiles()[0]}")
+    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return merged.withColumns({c: F.lit(None).cast("string") for c in OPTIONAL if c not in merged.columns})
 
 
 def label_and_union(sources: dict[int, DataFrame]) -> DataFrame:

@@ -24,12 +24,14 @@ def small():
 
 
 CORPUS = [
-    ("official council report confirms the approved public budget", 1),
-    ("agency documents show the committee published verified results", 1),
-    ("shocking secret plot exposed click now unbelievable conspiracy", 0),
-    ("miracle rumor they do not want you to know viral hoax", 0),
-    ("government audit provides evidence and named public records", 1),
-    ("anonymous source reveals unbelievable hidden scheme share now", 0),
+    ("the harbour board met on tuesday and signed the dredging contract", 1),
+    ("measured rainfall at the station was the lowest since records began", 1),
+    ("the ministry printed the census tables with a signed annex", 1),
+    ("engineers measured the bridge and printed their signed report", 1),
+    ("the board printed rainfall tables for the harbour station", 1),
+    ("wizards melted the moon and nobody dares tell you", 0),
+    ("nobody dares tell you which wizards melted your savings", 0),
+    ("secret moon wizards dares you to share before it is melted", 0),
 ]
 
 

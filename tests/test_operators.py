@@ -34,6 +34,44 @@ def test_csv_encodings_and_missing_file(spark, tmp_path):
         read_articles(spark, str(tmp_path / "missing.csv"))
 
 
+def test_csv_binds_by_name(spark, tmp_path):
+    folder = tmp_path / "with blank"
+    folder.mkdir()
+    (folder / "one file.csv").write_bytes(b"id,text,title\n7,BODY,HEAD\n")
+    (folder / "two.csv").write_bytes("title,date,text\nT\xe9,,NA\n".encode("latin-1"))
+    rows = {r["title"]: r.asDict() for r in read_articles(spark, str(folder)).collect()}
+    assert (rows["HEAD"]["text"], rows["HEAD"]["id"], rows["HEAD"]["subject"]) == ("BODY", "7", None)
+    assert (rows["T\xe9"]["text"], rows["T\xe9"]["date"]) == ("NA", None)
+    (folder / "three.csv").write_bytes(b"headline,words\na,b\n")
+    with pytest.raises(DataContractError):
+        read_articles(spark, str(folder))
+
+
+def test_dates_of_many_layouts(spark):
+    from corpuslens.functions.dates import parse_date
+
+    same = ["2017-12-31", "12/31/2017", "31/12/2017", "2017/12/31", "31 December 2017", "December 31, 2017", "Dec 31, 2017", "31-Dec-17", "31.12.2017"]
+    timed = ["2017-12-31 10:15", "2017-12-31T10:15:00Z", "2017-12-31 10:15:00", "2017-12-31T12:15:00+02:00", "12/31/2017 10:15"]
+    rows = spark.createDataFrame([(t,) for t in [*same, *timed, "soon", "", None, "2017-13-45"]], "t string")
+    found = [r[0] for r in rows.select(parse_date(F.col("t")).cast("string")).collect()]
+    assert set(found[: len(same)]) == {"2017-12-31 00:00:00"}
+    assert set(found[len(same) : -4]) == {"2017-12-31 10:15:00"} and found[-4:] == [None] * 4
+
+
+def test_totals_over_odd_scores(spark):
+    rows = spark.createDataFrame([(x, 1) for x in (1.0, float("inf"), float("-inf"), float("nan"), 2.0, 2.0)], "s double, n int")
+    found = {str(r["s"]): r["cum_n"] for r in running_totals(rows, "s", ["n"]).collect()}
+    assert found == {"nan": 1, "inf": 2, "2.0": 4, "1.0": 5, "-inf": 6}
+    assert running_totals(rows.limit(0), "s", ["n"]).count() == 0
+
+
+def test_digests_tell_nulls_apart(spark):
+    from corpuslens.operators.profile import duplicate_rows
+
+    rows = spark.createDataFrame([(None, "a"), ("", "a"), (None, "a"), ("a", None), ("a", "")], "title string, text string")
+    assert duplicate_rows(rows).first()[0] == 1
+
+
 def test_missing_model(spark, tmp_path):
     with pytest.raises(ModelNotReadyError):
         load_model(spark, str(tmp_path / "none"))

@@ -27,14 +27,14 @@ def both_ways(spark, values):
 
 
 def test_normalizer_examples(spark):
-    wide = "".join(chr(ord(c) + 0xFEE0) for c in "CAF") + chr(0xC9) + " News"
+    wide = "ＣＡＦÉ News"
     out = both_ways(
         spark,
         [
             wide,
             "<p>Important <strong>report</strong></p>",
             "See https://example.com or editor@example.com",
-            "This isn't true and can" + chr(0x2019) + "t be verified.",
+            "This isn't true and can’t be verified.",
             None,
             " News ",
             "LONDON (Reuters) - A report was issued.",

@@ -34,6 +34,8 @@ BLOCK_ROWS = 2048
 RECALL = 0.95
 #: Block edges are broadcast: 8 bytes for each block and curve. Beyond so many blocks they grow instead.
 MOST_BLOCKS = 1_000_000
+#: Blocks whose results for a query are merged first.
+MERGE = 256
 #: Rows that fit the projection and queries that calibrate the reach, at most about as many.
 FIT_ROWS, CALIBRATION_QUERIES = 4096, 256
 
@@ -157,11 +159,12 @@ def search_block(k: int):
         queries, rows = group.filter(pa.array(is_query)), group.filter(pa.array(~is_query))
         if not len(queries) or not len(rows):
             return target.empty_table()
+        part = group.column("block")[0].as_py() // MERGE
         ids = rows.column("vec_id").to_numpy()
         stored = matrix(rows.column("data"))
         asked = matrix(queries.column("data"))
         names = queries.column("vec_id").to_numpy()
-        out_ids, out_scores = [], []
+        out = []
         for first in range(0, len(asked), 256):
             rough = asked[first : first + 256] @ stored.T
             for n, row in enumerate(rough):
@@ -169,18 +172,27 @@ def search_block(k: int):
                 near = best(row, ids, 2 * k + 8) if len(row) > k else np.arange(len(row))
                 score = exact(np.broadcast_to(asked[first + n], stored[near].shape), stored[near])
                 top = best(score, ids[near], k)
-                out_ids.append(ids[near][top].tolist())
-                out_scores.append(score[top].tolist())
-        return pa.Table.from_arrays([pa.array(names), pa.array(out_ids, pa.list_(pa.int64())), pa.array(out_scores, pa.list_(pa.float64()))], schema=target)
+                out.append([{"minus": -s, "rep": i} for s, i in zip(score[top].tolist(), ids[near][top].tolist())])
+        return pa.Table.from_arrays([pa.array(names), pa.array([part] * len(names), pa.int32()), pa.array(out, target.field("top").type)], schema=target)
 
     return run
 
 
 def arrow_schema_found() -> pa.Schema:
-    return pa.schema([("query_id", pa.int64()), ("ids", pa.list_(pa.int64())), ("scores", pa.list_(pa.float64()))])
+    return pa.schema([("query_id", pa.int64()), ("part", pa.int32()), ("top", pa.list_(pa.struct([("minus", pa.float64()), ("rep", pa.int64())])))])
+
+
+FOUND = "query_id long, part int, top array<struct<minus: double, rep: long>>"
 
 
-FOUND = "query_id long, ids array<long>, scores array<double>"
+def merged(found: DataFrame, k: int) -> DataFrame:
+    """query_id and its best k of all blocks, as a list of (minus score, rep).
+
+    Lists are merged as lists, first those of ``MERGE`` blocks that follow each other, so that no query gathers more than
+    the square root of what all blocks returned, and nothing is expanded before it is cut to k.
+    """
+    best_of = F.slice(F.array_distinct(F.sort_array(F.flatten(F.collect_list("top")))), 1, k).alias("top")
+    return found.groupBy("query_id", "part").agg(best_of).groupBy("query_id").agg(best_of)
 
 
 def search(
@@ -223,8 +235,7 @@ def search(
     near = asked.where(F.col("curve") < used).select("curve", sides.alias("block"), F.col("name").alias("vec_id"), "data", F.lit(True).alias("is_query"))
     stored = blocked.where(F.col("curve") < used).select("curve", "block", "vec_id", "data", F.lit(False).alias("is_query"))
     found = near.unionByName(stored).groupBy("curve", "block").applyInArrow(search_block(k + 1), FOUND)
-    pairs = found.select("query_id", F.explode(F.arrays_zip("ids", "scores")).alias("p")).select("query_id", F.col("p.ids").alias("rep"), F.col("p.scores").alias("score")).distinct()
-    top = pairs.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("minus"), "rep"))), 1, k + 1).alias("top"))
+    top = merged(found, k + 1)
     classed = materialize(top.select("query_id", F.explode("top").alias("t")).select("query_id", F.col("t.rep").alias("rep"), (-F.col("t.minus")).alias("score")), "found")
     return members(classed, queries, rows, classes, is_query, k)
 
@@ -295,8 +306,7 @@ def calibrated(asked: DataFrame, blocked: DataFrame, blocks: int, curves: int, k
     everywhere = picked.where("curve = 0").select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.col("name").alias("vec_id"), "data", F.lit(True).alias("is_query"))
     stored = blocked.where("curve = 0").select("block", "vec_id", "data", F.lit(False).alias("is_query"))
     found = everywhere.unionByName(stored).groupBy("block").applyInArrow(search_block(k + 1), FOUND)
-    pairs = found.select("query_id", F.explode(F.arrays_zip("ids", "scores")).alias("p")).select("query_id", F.struct((-F.col("p.scores")).alias("minus"), F.col("p.ids").alias("rep")).alias("p"))
-    true = pairs.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list("p")), 1, k + 1).alias("top")).select("query_id", F.explode("top.rep").alias("vec_id"))
+    true = merged(found, k + 1).select("query_id", F.explode("top.rep").alias("vec_id"))
     mine = picked.select(F.col("name").alias("query_id"), "curve", F.col("block").alias("own"))
     far = true.join(mine, "query_id").join(blocked.select("curve", "block", "vec_id"), ["curve", "vec_id"]).groupBy("query_id", "vec_id").pivot("curve", list(range(curves))).agg(F.min(F.abs(F.col("block") - F.col("own"))))
     gaps = np.array([[blocks if x is None else x for x in r[2:]] for r in far.collect()])

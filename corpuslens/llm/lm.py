@@ -32,7 +32,8 @@ from corpuslens.sources.tables import materialize
 #: Training folds: a document is held out if its remainder is HELD; of the others one in DELETED teaches the weights.
 FOLDS, HELD, DELETED = 7, 2, 10
 KEY_BITS = 56
-CHUNK_BYTES = 16 << 20
+#: Text of a chunk, in bytes; a task's arrays take about 15 times as much.
+CHUNK_BYTES = 8 << 20
 #: Context counts from 2^(BUCKETS - 2) on share the last bucket.
 BUCKETS = 24
 #: Bins per factor of two in the histogram of the deleted fold, and the smallest probability told apart.
@@ -72,12 +73,22 @@ class Sequences:
         hashed = np.concatenate([pool.hashes(), [END, START]])
         end, start = len(hashed) - 2, len(hashed) - 1
         self.lengths = np.array([len(s) + 1 for s in split], "int64")
-        self.words = np.concatenate([part for s in split for part in (s, [end])]).astype("int64") if split else np.empty(0, "int64")
+        self.words = np.empty(int(self.lengths.sum()), "int32")
+        at = 0
+        for numbers in split:
+            self.words[at : at + len(numbers)] = numbers
+            at += len(numbers) + 1
+            self.words[at - 1] = end
+        del split
         before = np.empty_like(self.words)
         before[1:] = self.words[:-1]
         before[np.cumsum(self.lengths) - self.lengths] = start
         self.keys = shorten(hashed)
-        self.pairs = shorten(hashed[before] * MULTIPLIER + hashed[self.words] + np.uint64(1))
+        pairs = hashed[before]
+        pairs *= MULTIPLIER
+        pairs += hashed[self.words]
+        pairs += np.uint64(1)
+        self.pairs = shorten(pairs)
 
 
 def totals(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -98,9 +109,9 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 def counted_keys(texts: list[bytes], train: np.ndarray, deleted: np.ndarray) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
     """Keys of words and of pairs with their counts in training texts and in deleted ones, which are part of them."""
     seq = Sequences(texts)
-    n, h = np.repeat(train, seq.lengths).astype("int64"), np.repeat(deleted, seq.lengths).astype("int64")
+    n, h = np.repeat(train, seq.lengths).astype("int32"), np.repeat(deleted, seq.lengths).astype("int32")
     size = len(seq.keys)
-    of_words = np.bincount(seq.words, n, size).astype("int64"), np.bincount(seq.words, h, size).astype("int64")
+    of_words = np.bincount(seq.words, n, size).astype("int32"), np.bincount(seq.words, h, size).astype("int32")
     # as a context the start of a text counts once per text; it is asked for like a word but is none
     of_words[0][-1], of_words[1][-1] = int(train.sum()), int(deleted.sum())
     return totals(seq.keys, *of_words), totals(seq.pairs, n, h)
@@ -125,6 +136,7 @@ def send(buckets: int):
             for kind in (0, 1):
                 parts = held[p][kind]
                 keys, n, h = totals(*(np.concatenate([part[c] for part in parts]) for c in range(3)))
+                parts.clear()
                 cuts = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
                 for bucket, (a, b) in enumerate(zip(cuts, cuts[1:])):
                     if b > a:
@@ -165,6 +177,7 @@ def attach(docs: pa.Table, answers: pa.Table) -> pa.Table:
     kinds = answers.column("kind").to_numpy()
     got = {c: [unpack(x) for x in answers.column(c).to_pylist()] for c in ("n", "h")}
     whole = {(c, kind): np.concatenate([a for a, k in zip(got[c], kinds) if k == kind]).astype("int64") for c in ("n", "h") for kind in (0, 1)}
+    del got, answers
     distinct, at_word = np.unique(seq.keys, return_inverse=True)
     pairs, at_pair = np.unique(seq.pairs, return_inverse=True)
     if len(distinct) != len(whole["n", 0]) or len(pairs) != len(whole["n", 1]):

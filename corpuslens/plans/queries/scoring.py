@@ -338,7 +338,12 @@ def error_reason(spark, sf_dir):
     return rows.select("row_id", reason.alias("possible_reason"))
 
 
-@query("stream_score")
+@query(
+    "stream_score",
+    f"""WITH {FITTED}, {_TALK}
+        SELECT CAST(row_id // 1000 AS BIGINT) AS conv_id, CAST(row_id % 1000 AS BIGINT) AS turn, prediction AS label,
+          round(p, 6) AS probability_real, {_BAND} AS confidence_band, CAST(NULL AS VARCHAR) AS reject_reason FROM results""",
+)
 def stream_score(spark, sf_dir):
     """Conversation turns read as a file stream, scored, and appended to a folder."""
     import uuid

@@ -2,7 +2,9 @@
 
 ``write`` stores each payload once under its SHA-256, and one row per record with the record's exact bytes
 before the payload. ``records`` joins both and gives the records' original bytes back; ``read`` parses those
-bytes. Payloads are stored in buckets by digest, so reading moves the short heads to them and no payload.
+bytes. Large payloads are stored in buckets by digest, so reading moves the short heads to them and no payload;
+one record carries each. Short payloads, which thousands of records may carry, are stored apart: their join is an
+ordinary one that Spark can split where a digest is hot. Revisits only meet digests and sizes.
 """
 
 from __future__ import annotations
@@ -26,7 +28,9 @@ CRLF = "\r\n"
 @dataclass
 class Archive:
     heads: DataFrame
-    payloads: DataFrame
+    #: Payloads from the revisit size on, in buckets, and shorter ones.
+    large: DataFrame
+    small: DataFrame
 
 
 def head(kind: Column, page_id: Column, url: Column, sha1: Column, size: Column, refers_to: Column, date: str) -> Column:
@@ -71,50 +75,63 @@ def write(pages: DataFrame, least: int = REVISIT_FROM, date: str = DATE) -> Arch
         F.encode(head(F.col("kind"), F.col("page_id"), F.col("url"), F.col("sha1"), F.col("size"), F.col("to"), date), "utf-8").alias("head"),
         (F.col("kind") == "response").alias("carries"),
     )
-    # each payload once, in buckets of its digest
+    # each payload once
     store = pages.select(payload.alias("payload")).select(F.sha2("payload", 256).alias("sha256"), "payload")
-    once = store.groupBy("sha256").agg(F.first("payload").alias("payload"))
+    short = F.octet_length("payload") < least
+    once = lambda rows: rows.groupBy("sha256").agg(F.first("payload").alias("payload"))
     name = f"warc_payloads_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    once.repartition(buckets, "sha256").write.bucketBy(buckets, "sha256").sortBy("sha256").option("compression", "zstd").saveAsTable(name)
-    return Archive(materialize(heads, "heads"), spark.table(name))
-
-
-def records(archive: Archive) -> DataFrame:
-    """page_id and the record's bytes: head, payload if it carries one, two line ends; ``intact`` tells whether the stored payload still has its digest."""
-    # a digest's records are dealt over salts only where the payload is short, so that copies cost little
-    joined = archive.heads.join(archive.payloads, "sha256", "left")
-    body = F.when(F.col("carries"), F.col("payload")).otherwise(F.lit(b""))
-    return joined.select(
-        "page_id", F.concat("head", body, F.lit((CRLF * 2).encode())).alias("record"), F.col("payload").alias("stored"),
-        (F.sha2("payload", 256) == F.col("sha256")).alias("intact"),
-    )
+    large = once(store.where(~short)).repartition(buckets, "sha256")
+    large.write.bucketBy(buckets, "sha256").sortBy("sha256").option("compression", "zstd").saveAsTable(name)
+    return Archive(materialize(heads, "heads"), spark.table(name), materialize(once(store.where(short)), "payloads"))
+
+
+def records(archive: Archive, least: int = REVISIT_FROM) -> DataFrame:
+    """page_id and the record's bytes: head, payload if it carries one, two line ends.
+
+    ``sha1`` and ``size`` are taken from the stored payload, also for revisits, which do not carry it; ``intact`` tells whether
+    it still has its strong digest.
+    """
+    carrying, revisits = archive.heads.where("carries"), archive.heads.where("NOT carries")
+    facts = [F.sha1("payload").alias("sha1"), F.octet_length("payload").cast("long").alias("size"), (F.sha2("payload", 256) == F.col("sha256")).alias("intact")]
+    heads = lambda rows: rows.select("page_id", "head", "sha256")
+    whole = [
+        heads(carrying.where(F.col("size") >= least)).join(archive.large, "sha256", "left"),
+        heads(carrying.where(F.col("size") < least)).join(archive.small.hint("merge"), "sha256", "left"),
+    ]
+    ends = F.lit((CRLF * 2).encode())
+    parts = [rows.select("page_id", F.concat("head", "payload", ends).alias("record"), *facts) for rows in whole]
+    known = archive.large.select("sha256", *facts)
+    parts.append(heads(revisits).join(known.hint("merge"), "sha256", "left").select("page_id", F.concat("head", ends).alias("record"), "sha1", "size", "intact"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def read(spark: SparkSession, archive: Archive) -> DataFrame:
     """Fields parsed from the records' bytes; digests and sizes are taken anew from payloads.
 
-    A record whose payload is missing or does not have its digest raises an error.
+    ``payload`` is null for revisits: it is that of the record they refer to. A record whose payload is missing or does
+    not have its digest raises an error.
     """
     raw = records(archive)
     fields = F.decode(F.encode(F.substring_index(F.decode(F.col("record"), "iso-8859-1"), CRLF * 2, 1), "iso-8859-1"), "utf-8")
     top = F.substring_index(F.decode(F.col("record"), "iso-8859-1"), CRLF * 2, 2)
     # ISO 8859-1 gives one character per byte: character places are byte places
-    parsed = raw.select("page_id", "stored", "intact", fields.alias("fields"), F.length(top).alias("skip"), "record")
+    parsed = raw.select("page_id", "sha1", "size", "intact", fields.alias("fields"), F.length(top).alias("skip"), "record")
     field = lambda name: F.regexp_extract("fields", rf"(?m)^{name}: (.*?)\r?$", 1)
     body = F.expr("substring(record, skip + 5, octet_length(record) - skip - 8)")
     kind = field("WARC-Type")
-    content = F.when(kind == "revisit", F.col("stored")).otherwise(body)
+    content = F.when(kind != "revisit", body)
     out = parsed.select(
         F.regexp_extract(field("WARC-Record-ID"), r"<urn:page:(-?\d+)>", 1).alias("id"),
         field("WARC-Target-URI").alias("url"), kind.alias("record_type"), content.alias("payload"),
         F.regexp_extract(field("WARC-Refers-To"), r"<urn:page:(-?\d+)>", 1).alias("to"),
-        F.regexp_extract(field("WARC-Payload-Digest"), r"sha1:(\w+)", 1).alias("digest"), "intact",
+        F.regexp_extract(field("WARC-Payload-Digest"), r"sha1:(\w+)", 1).alias("digest"), "sha1", "size", "intact",
     )
-    broken = ~F.coalesce(F.col("intact") & (F.sha1("payload") == F.col("digest")), F.lit(False))
+    same = F.col("intact") & (F.col("sha1") == F.col("digest")) & (F.col("payload").isNull() | (F.sha1("payload") == F.col("digest")))
+    broken = ~F.coalesce(same, F.lit(False))
     number = lambda c: F.when(F.col(c) != "", F.col(c).cast("long"))
     return out.select(
-        number("id").alias("page_id"), "url", F.octet_length("payload").cast("long").alias("payload_bytes"),
+        number("id").alias("page_id"), "url", F.col("size").alias("payload_bytes"),
         F.when(broken, F.raise_error(F.concat(F.lit("payload does not have its digest: record "), F.col("id")))).otherwise(F.col("digest")).alias("payload_digest"),
         "record_type", number("to").alias("refers_to"), "payload",
     )

@@ -47,6 +47,8 @@ HINTS = frozenset(
     "modal overlay dialog newsletter subscribe subscription signup login register search comment comments disqus replies reply respond responses share sharing social "
     "related recommended recommendations pagination pager widget widgets skip copyright legal disclaimer paywall toc hidden offscreen tagcloud teaser".split()
 )
+#: The same for article elements, whose other names say what stands beside them.
+ARTICLE_HINTS = frozenset("ad ads advert comment comments reply promo related teaser sponsored".split())
 PARTS = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -57,13 +59,14 @@ MENU_SHARE = 0.6
 
 
 class Node:
-    __slots__ = ("tag", "hint", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "hint", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total", "core")
 
     def __init__(self, tag: str, hint: bool, parent: Node | None):
         self.tag, self.hint, self.parent = tag, hint, parent
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
+        self.core = False  # holds an article or its heading: then no class name makes it something else
 
 
 def hinted(tag: str, attrs: str) -> bool:
@@ -76,7 +79,7 @@ def hinted(tag: str, attrs: str) -> bool:
         if name == "style":
             if "display:none" in value.replace(" ", "").lower():
                 return True
-        elif tag not in ("html", "body", "article", "main") and not HINTS.isdisjoint(PARTS.findall(CAMEL.sub("-", value).lower())):
+        elif tag not in ("html", "body", "main") and not (ARTICLE_HINTS if tag == "article" else HINTS).isdisjoint(PARTS.findall(CAMEL.sub("-", value).lower())):
             return True
     return False
 
@@ -105,6 +108,10 @@ def parse(page: str) -> Node:
         here = opened(here, name)
         node = Node(name, hinted(name, match["attrs"] or ""), here)
         here.children.append(node)
+        if name in ("article", "main", "h1") and not node.hint:
+            above = here
+            while above is not None and not above.core:
+                above.core, above = True, above.parent
         if name in RAW:
             stop = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = stop.end() if stop else size
@@ -138,7 +145,7 @@ def close(here: Node, name: str) -> Node:
 
 
 def dropped(node: Node, inside: bool) -> bool:
-    return node.tag in DROPPED or node.hint or node.tag == "header" and not inside
+    return node.tag in DROPPED or node.hint and not node.core or node.tag == "header" and not inside
 
 
 def measured(node: Node, link: bool, inside: bool) -> None:

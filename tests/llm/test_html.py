@@ -39,6 +39,11 @@ def test_sections_stay_together():
     assert found[:2] == ["Top", "S1"] and "S2" in found and len(found) == 7
 
 
+def test_names_of_boxes_around_the_article():
+    body = f"<div class='no-sidebar related'>{ARTICLE}</p><div class='comments'><article class='comment'><p>I was first to say so.</p></article></div></div><div class='sidebar'><p>Other stories of the day.</p></div>"
+    assert html.content(page(body)) == WANT
+
+
 def test_broken_markup():
     for text in ("", "<", "<p", "plain words", "<a b='", "</div></p>", "<table><tr><td>x", "<script>never closed", "&amp", "<p a=\"1>2\">q</p>"):
         assert isinstance(html.content(text), list)

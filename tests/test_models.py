@@ -63,18 +63,19 @@ def test_logistic_gradient_vanishes(clean, logistic):
     for r in rows:
         x = np.append(r["features"].toArray(), 1.0)
         y = 1.0 if r["label"] == 1 else -1.0
-        gradient -= 2.0 * y * x / (1.0 + np.exp(y * float(w @ x)))
+        balance = len(rows) / 2 / sum(o["label"] == r["label"] for o in rows)
+        gradient -= 2.0 * balance * y * x / (1.0 + np.exp(y * float(w @ x)))
     assert np.abs(gradient).max() < 0.02
 
 
 def test_majority(clean):
     features, linear = fit_pipeline(clean, "dummy", TOY)
-    assert {r["prediction"] for r in scored_labels(clean, TextModel((Member(features, linear),))).collect()} == {0}
+    assert {r["prediction"] for r in scored_labels(clean, TextModel((Member(features, linear),))).collect()} == {1}
 
 
 def test_prediction_record(spark, logistic):
     df = spark.createDataFrame(
-        [(0, "official public report confirms the committee approved documented results"), (1, " "), (2, "rumor")],
+        [(0, "the harbour board signed the printed rainfall report"), (1, " "), (2, "wizards")],
         "i int, text string",
     )
     options = ScoringOptions(maximum_characters=500, minimum_words=5, minimum_coverage=0.0001, top_features=4)
@@ -92,7 +93,7 @@ def test_prediction_record(spark, logistic):
 def test_margin_models_have_no_confidence(spark, logistic):
     member = logistic.members[0]
     margin = LinearModel("m", member.linear.coefficients, member.linear.intercept, "margin")
-    df = spark.createDataFrame([(0, "official public report")], "i int, text string")
+    df = spark.createDataFrame([(0, "the harbour board")], "i int, text string")
     row = predict(df, TextModel((Member(member.features, margin),))).first()
     assert row["estimated_model_probability"] is None and row["confidence_band"] == "Unavailable"
 

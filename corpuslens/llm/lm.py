@@ -17,6 +17,7 @@ N-grams are told apart by 56 bits of a hash: two of 10^8 share a number with a c
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -60,6 +61,14 @@ def unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u8").ravel()
 
 
+def release() -> None:
+    """Give freed memory back to the system: a worker process outlives its task, and so would what it held."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim is not None:
+        trim(0)
+
+
 def shorten(keys: np.ndarray) -> np.ndarray:
     return mix(keys) >> np.uint64(64 - KEY_BITS)
 
@@ -142,6 +151,7 @@ def send(buckets: int):
                     if b > a:
                         rows.append((p, kind, bucket, pack(np.diff(keys[a:b], prepend=np.uint64(0))), pack(n[a:b]), pack(h[a:b])))
             del held[p]
+            release()
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), target)], schema=target)
 
     return run
@@ -163,6 +173,8 @@ def merge(group: pa.Table) -> pa.Table:
     words = kind == 0
     word = keys != shorten(np.array([START]))[0] if words else np.zeros(len(keys), bool)
     rows.append((None, kind, bucket, None, None, int((n[word] > 0).sum()), int(n[word].sum())))
+    del sent, keys, n, h
+    release()
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), target)], schema=target)
 
 
@@ -191,6 +203,8 @@ def attach(docs: pa.Table, answers: pa.Table) -> pa.Table:
         cut = slice(int(ends[n] - seq.lengths[n]), int(ends[n]))
         kept = (pack(words["n"][cut] - words["h"][cut]), pack(twos["n"][cut] - twos["h"][cut])) if deleted[n] else (None, None)
         rows.append((doc_id, held_out, pack(words["n"][cut]), pack(twos["n"][cut]), *kept))
+    del seq, texts, whole, words, twos, distinct, at_word, pairs, at_pair
+    release()
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), target)], schema=target)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 
@@ -185,6 +186,41 @@ def op9_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan(table(spark, sf_dir, "documents"))
 
 
+LICENSE_WINDOWS_SQL = f"""
+WITH doc AS (
+  SELECT doc_id, {sql_words("text")} AS w FROM documents
+), phrase(words, label) AS (
+  VALUES {", ".join(f"({sql_list(p.split())}, '{label}')" for p, label in license.PHRASES.items())}
+), place AS (
+  SELECT doc_id, label, unnest(list_filter(range(0, greatest(len(w) - len(words) + 1, 0)), lambda i: w[i + 1:i + len(words)] = words)) AS i
+  FROM doc, phrase WHERE list_has_all(w, words)
+), base AS (
+  SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list(DISTINCT label) AS named FROM place GROUP BY doc_id
+), template(label, words, size) AS (
+  VALUES {", ".join(f"('{label}', {sql_list(sorted(set(t.split())))}, {math.ceil(len(t.split()) / license.THRESHOLD - 1e-9)})" for label, t in license.TEMPLATES)}
+), possible AS (
+  SELECT doc_id, w, label, words, size FROM doc, template WHERE len(list_intersect(words, w)) / len(words) >= {license.THRESHOLD}
+), part AS (
+  SELECT doc_id, label, len(list_intersect(words, w[i:i + size - 1])) / len(words) AS part
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - size, 0) + 2)) AS i FROM possible)
+), matched AS (
+  SELECT doc_id, list(DISTINCT label) AS more, max(part) AS part FROM part WHERE part >= {license.THRESHOLD} GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+  CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+  array_to_string(list_sort(coalesce(named, [])), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(named, []), coalesce(more, [])))), ',') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(part, 0)::DOUBLE END AS score
+FROM doc LEFT JOIN base USING (doc_id) LEFT JOIN matched USING (doc_id)
+"""
+
+
+@query("op9_license_windows", LICENSE_WINDOWS_SQL)
+def op9_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases and licence notices in all documents, notices across line ends and within bounded windows."""
+    return license.scan_windows(table(spark, sf_dir, "documents"))
+
+
 ROLLUP_SQL = """
 WITH counted AS (
   SELECT source, lang, n_chars, unnest([

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -50,3 +51,46 @@ def test_matches_brute_force(spark, odd_docs, no_docs):
 def test_no_python_in_the_plan(odd_docs):
     plan = license.scan(odd_docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def windowed(text):
+    """Labels and best share over all windows of consecutive words."""
+    words = WORD.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))
+    more, best = set(), 0.0
+    for label, notice in license.TEMPLATES:
+        wanted, size = set(notice.split()), math.ceil(len(notice.split()) / license.THRESHOLD - 1e-9)
+        part = max(len(wanted & set(words[i : i + size])) for i in range(max(len(words) - size, 0) + 1)) / len(wanted)
+        if part >= license.THRESHOLD:
+            more.add(label)
+            best = max(best, part)
+    base = brute(text)
+    return *base[:5], ",".join(sorted(more | set(base[4].split(",")) - {""})), 1.0 if base[1] else best
+
+
+def test_wrapped_notices_and_long_lines(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted"
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0"
+    prose = " filler word of no meaning at all ".join("the album was released under mit supervision with license".split())
+    docs = [(1, bsd), (2, mpl), (3, prose), (4, prose + "\n" + bsd), (5, " ".join(["free"] * 500)), (6, None)]
+    got = {r["doc_id"]: tuple(r[1:]) for r in license.scan_windows(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {n: windowed(t) for n, t in docs}
+    assert [got[n][5] for n in (1, 2, 3, 4)] == ["bsd", "mpl-2.0", "", "bsd"]
+
+
+def test_windows_match_brute_force(spark, odd_docs, no_docs):
+    generator = random.Random(9)
+    pool = sorted({w for _, t in license.TEMPLATES for w in t.split()}) + ["ü", "filler", "x1"]
+    docs = []
+    for n in range(150):
+        words = []
+        for _ in range(generator.randrange(6)):
+            words += [generator.choice(pool) for _ in range(generator.randrange(12))]
+            words += [w for w in generator.choice(license.TEMPLATES)[1].split() if generator.random() > 0.1]
+        docs.append((n, "".join(w + generator.choice((" ", " ", ", ", "\n")) for w in words)))
+    rows = license.scan_windows(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r[0]: tuple(r[1:]) for r in rows} == {n: windowed(t) for n, t in docs}
+    odd = license.scan_windows(odd_docs).collect()
+    assert sorted(repr(tuple(r)) for r in odd) == sorted(repr((r["doc_id"], *windowed(r["text"]))) for r in odd_docs.collect())
+    assert license.scan_windows(no_docs).count() == 0
+    plan = license.scan_windows(odd_docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -3,9 +3,10 @@
 1. Distinct vectors are indexed once; each keeps its smallest ids, as many as a result can need.
 2. Vectors are projected to a few dimensions (random directions, or principal ones of a bounded sample), quantised, shifted by an
    offset per curve and given their place on a Hilbert curve.
-3. Each curve is range-partitioned by that place and cut into blocks of ``block_rows`` neighbours.
-4. A query meets the blocks within ``reach`` of its own on each curve; every block returns its best, which are
-   merged and ranked by the inner product in double precision.
+3. Each curve is range-partitioned by that place and cut into blocks of at most ``block_rows`` neighbours, by (place, id), so that
+   a place that many vectors share becomes several blocks.
+4. A query meets the blocks that hold its own place, and those within ``reach`` of them, on each curve; every block returns its
+   best, which are merged and ranked by the inner product in double precision.
 
 How many curves, and how far to reach, is calibrated: for a bounded sample of queries the true neighbours are
 found in blocks against all rows, and the cheapest setting is taken that would have met ``recall`` of them. Data
@@ -32,7 +33,7 @@ NEIGHBOURS = 20
 CURVES, DIMENSIONS, BITS = 4, 6, 10
 BLOCK_ROWS = 2048
 RECALL = 0.95
-#: Block edges are broadcast: 8 bytes for each block and curve. Beyond so many blocks they grow instead.
+#: Block edges are broadcast: 17 bytes for each block and curve. Beyond so many blocks they grow instead.
 MOST_BLOCKS = 1_000_000
 #: Blocks whose results for a query are merged first.
 MERGE = 256
@@ -227,11 +228,11 @@ def search(
     norm = classes.mapInArrow(norms, fields("norm double")).agg(F.max("norm")).first()[0]
     projection = spark.sparkContext.broadcast(Projection.fit(fitted, norm, curves, dimensions))
     blocked, blocks = blocks_of(classes, projection, bits, block_rows)
-    # the block of a query is its class's own
-    asked = queries.select(F.col("data"), F.col("vec_id").alias("name")).join(classes.select("data", F.col("vec_id").alias("rep")), "data").join(blocked.select(F.col("vec_id").alias("rep"), "curve", "block"), "rep")
+    # the blocks of a query are those its class's place spans
+    asked = queries.select(F.col("data"), F.col("vec_id").alias("name")).join(classes.select("data", F.col("vec_id").alias("rep")), "data").join(blocked.select(F.col("vec_id").alias("rep"), "curve", "first", "last"), "rep")
     asked = materialize(asked, "asked")
     used, reach = calibrated(asked, blocked, blocks, curves, k, recall)
-    sides = F.explode(F.sequence(F.greatest(F.col("block") - reach, F.lit(0)), F.least(F.col("block") + reach, F.lit(blocks - 1))))
+    sides = F.explode(F.sequence(F.greatest(F.col("first") - reach, F.lit(0)), F.least(F.col("last") + reach, F.lit(blocks - 1))))
     near = asked.where(F.col("curve") < used).select("curve", sides.alias("block"), F.col("name").alias("vec_id"), "data", F.lit(True).alias("is_query"))
     stored = blocked.where(F.col("curve") < used).select("curve", "block", "vec_id", "data", F.lit(False).alias("is_query"))
     found = near.unionByName(stored).groupBy("curve", "block").applyInArrow(search_block(k + 1), FOUND)
@@ -257,11 +258,76 @@ def norms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(values, pa.float64())], schema=target)
 
 
+@dataclass
+class Edges:
+    """Where the blocks of one curve begin, from the second on; ``fresh`` where no block before has the same place."""
+
+    places: np.ndarray
+    ids: np.ndarray
+    fresh: np.ndarray
+
+    @classmethod
+    def merged(cls, pieces: np.ndarray, most: int) -> Edges:
+        """Pieces (place, id, last place, rows) in their order, put together to blocks of at most ``most`` rows."""
+        edges, rows, before = [], 0, None
+        for place, vec_id, last, more in pieces.tolist():
+            if rows and rows + more > most:
+                edges.append((place, vec_id, before != place))
+                rows = 0
+            rows, before = rows + more, last
+        places, ids, fresh = zip(*edges) if edges else ((), (), ())
+        return cls(np.array(places, "int64"), np.array(ids, "int64"), np.array(fresh, bool))
+
+    def blocks(self, place: np.ndarray, vec_id: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Block of each (place, id), and the first and the last block that hold its place."""
+        low, last = np.searchsorted(self.places, place), np.searchsorted(self.places, place, "right")
+        block = low.copy()
+        for cut in np.unique(place[last > low]):
+            here = np.flatnonzero(place == cut)
+            block[here] += np.searchsorted(self.ids[low[here[0]] : last[here[0]]], vec_id[here], "right")
+        first = np.searchsorted(self.places[~self.fresh], place) + np.searchsorted(self.places[self.fresh], place, "right")
+        return block, first, last
+
+
+PIECE = "curve int, place long, vec_id long, last long, rows long"
+
+
+def pieces_of(most: int):
+    """Runs of at most ``most`` rows of sorted (part, curve, place, vec_id): where each begins, its last place and size."""
+    target = arrow_schema(fields(PIECE))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, start, end = 0, None, None
+        for batch in batches:
+            part, curve, place, vec_id = (batch.column(n).to_numpy() for n in ("part", "curve", "place", "vec_id"))
+            out, at = [], 0
+            same = (part[1:] == part[:-1]) & (curve[1:] == curve[:-1])
+            stops = [*(np.flatnonzero(~(same & (place[1:] >= place[:-1]))) + 1).tolist(), len(place)]
+            for stop in stops:
+                while at < stop:
+                    key = (int(part[at]), int(curve[at]), int(place[at]), int(vec_id[at]))
+                    if rows and (rows == most or end[:2] != key[:2] or end[2] > key[2]):
+                        out.append((*start[1:], end[2], rows))
+                        rows = 0
+                    if not rows:
+                        start = key
+                    more = min(most - rows, stop - at)
+                    rows, at = rows + more, at + more
+                    end = (key[0], key[1], int(place[at - 1]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), target)], schema=target)
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip((*start[1:], end[2], rows), target)], schema=target)
+
+    return run
+
+
 def blocks_of(classes: DataFrame, projection, bits: int, block_rows: int) -> tuple[DataFrame, int]:
-    """Every class on every curve with its block: curve, block, vec_id, data; and the number of blocks.
+    """Every class on every curve: curve, block, first, last, vec_id, data; and the largest number of blocks of a curve.
 
-    Blocks are equal shares of the curve's order: quantile edges of (place, id) come from one approximate pass,
-    so no global numbering is needed.
+    Blocks are runs of at most ``block_rows`` rows of the curve's order by (place, id), more than half as large on average. Their edges
+    come from one pass over the sorted rows, so no global numbering is needed. ``first`` and ``last`` are the blocks
+    that the row's place spans.
     """
     target = arrow_schema(fields("curve int, place long, vec_id long, data binary"))
 
@@ -273,25 +339,27 @@ def blocks_of(classes: DataFrame, projection, bits: int, block_rows: int) -> tup
 
     placed = classes.mapInArrow(run, fields("curve int, place long, vec_id long, data binary"))
     parts = max(1, int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    placed = materialize(placed.repartitionByRange(parts, "curve", "place", "vec_id").sortWithinPartitions("curve", "place", "vec_id"), "placed")
-    blocks = min(MOST_BLOCKS, max(1, -(-classes.count() // block_rows)))
-    cuts = {}
-    if blocks > 1:
-        shares = [(n + 1) / blocks for n in range(blocks - 1)]
-        for row in placed.groupBy("curve").agg(F.percentile_approx("place", shares, 10 * blocks + 1000).alias("edges")).collect():
-            cuts[row["curve"]] = np.array(row["edges"])
+    placed = placed.repartitionByRange(parts, "curve", "place", "vec_id").sortWithinPartitions("curve", "place", "vec_id")
+    placed = materialize(placed.withColumn("part", F.spark_partition_id()), "placed")
+    total = classes.count()
+    most, cuts = max(block_rows, -(-2 * total // MOST_BLOCKS)), {}
+    if total > most:
+        found = placed.select("part", "curve", "place", "vec_id").mapInArrow(pieces_of(most), fields(PIECE)).toArrow().sort_by([("curve", "ascending"), ("place", "ascending"), ("vec_id", "ascending")])
+        table = np.stack([found.column(c).to_numpy().astype("int64") for c in ("curve", "place", "vec_id", "last", "rows")], axis=1)
+        cuts = {int(curve): Edges.merged(table[table[:, 0] == curve, 1:], most) for curve in np.unique(table[:, 0])}
+    blocks = max((len(own.places) + 1 for own in cuts.values()), default=1)
     edges = classes.sparkSession.sparkContext.broadcast(cuts)
-    schema = fields("curve int, block int, vec_id long, data binary")
+    schema = fields("curve int, block int, first int, last int, vec_id long, data binary")
     out = arrow_schema(schema)
 
     def blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            curve, place = batch.column("curve").to_numpy(), batch.column("place").to_numpy()
-            block = np.zeros(len(curve), "int32")
+            curve, place, vec_id = (batch.column(n).to_numpy() for n in ("curve", "place", "vec_id"))
+            spans = np.zeros((3, len(curve)), "int32")
             for name, own in edges.value.items():
                 here = curve == name
-                block[here] = np.searchsorted(own, place[here])  # equal places stay together
-            yield pa.RecordBatch.from_arrays([batch.column("curve"), pa.array(block), batch.column("vec_id"), batch.column("data").cast(out.field("data").type)], schema=out)
+                spans[:, here] = own.blocks(place[here], vec_id[here])
+            yield pa.RecordBatch.from_arrays([batch.column("curve"), *map(pa.array, spans), batch.column("vec_id"), batch.column("data").cast(out.field("data").type)], schema=out)
 
     return materialize(placed.mapInArrow(blocked, schema), "blocked"), blocks
 
@@ -307,16 +375,18 @@ def calibrated(asked: DataFrame, blocked: DataFrame, blocks: int, curves: int, k
     stored = blocked.where("curve = 0").select("block", "vec_id", "data", F.lit(False).alias("is_query"))
     found = everywhere.unionByName(stored).groupBy("block").applyInArrow(search_block(k + 1), FOUND)
     true = merged(found, k + 1).select("query_id", F.explode("top.rep").alias("vec_id"))
-    mine = picked.select(F.col("name").alias("query_id"), "curve", F.col("block").alias("own"))
-    far = true.join(mine, "query_id").join(blocked.select("curve", "block", "vec_id"), ["curve", "vec_id"]).groupBy("query_id", "vec_id").pivot("curve", list(range(curves))).agg(F.min(F.abs(F.col("block") - F.col("own"))))
+    mine = picked.select(F.col("name").alias("query_id"), "curve", "first", "last")
+    gap = F.greatest(F.col("first") - F.col("block"), F.col("block") - F.col("last"), F.lit(0))
+    far = true.join(mine, "query_id").join(blocked.select("curve", "block", "vec_id"), ["curve", "vec_id"]).groupBy("query_id", "vec_id").pivot("curve", list(range(curves))).agg(F.min(gap))
     gaps = np.array([[blocks if x is None else x for x in r[2:]] for r in far.collect()])
     if not len(gaps):
         return 1, blocks - 1
+    wide = {r["curve"]: r["wide"] for r in mine.groupBy("curve").agg(F.avg(F.col("last") - F.col("first")).alias("wide")).collect()}
     choices = []
     for used in range(1, curves + 1):
         need = np.sort(gaps[:, :used].min(axis=1))
         reach = int(need[min(len(need) - 1, int(np.ceil(recall * len(need))) - 1)])
-        choices.append((used * min(blocks, 2 * reach + 1), used, reach))
+        choices.append((sum(min(blocks, 2 * reach + 1 + wide.get(curve, 0)) for curve in range(used)), used, reach))
     choices.append((blocks, 1, blocks - 1))  # one curve, swept whole
     _, used, reach = min(choices)
     return used, reach

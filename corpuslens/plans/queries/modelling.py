@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens.config import ProjectOptions
@@ -105,12 +107,10 @@ for _key, _name in (
 
 @query("cv_summary")
 def cv_summary(spark, sf_dir):
-    """Five folds, each with its own vocabulary."""
+    """Five folds of every candidate, each with its own vocabulary."""
     train = _train(cleaned(spark, sf_dir))
-    mean, std = summarize(fold_scores(train, "naive_bayes"))
-    return spark.createDataFrame(
-        [("naive_bayes", mean, std)], "model string, cv_macro_f1_mean double, cv_macro_f1_std double"
-    )
+    lines = [(name, *summarize(fold_scores(train, name))) for name in ProjectOptions().models.candidates]
+    return spark.createDataFrame(lines, "model string, cv_macro_f1_mean double, cv_macro_f1_std double")
 
 
 @query("model_comparison")
@@ -118,18 +118,23 @@ def model_comparison(spark, sf_dir):
     rows = cleaned(spark, sf_dir)
     options = ProjectOptions()
     validation = rows.filter(F.col("split") == "validation")
-    _, _, lines = compare_candidates(_train(rows), validation, options, cross_validate=False)
+    _, _, lines = compare_candidates(_train(rows), validation, options)
     table = spark.createDataFrame(lines, COMPARISON)
     return table.select(
-        "position", "model", "calibration", "accuracy", "macro_f1", "roc_auc", "brier_score", "score_kind"
+        "position", "model", "calibration", "accuracy", "macro_f1", "roc_auc", "brier_score",
+        "cv_macro_f1_mean", "cv_macro_f1_std", "score_kind"
     ).orderBy(F.col("macro_f1").desc(), "position")
 
 
 def _calibrated(spark, sf_dir, method: str):
+    """Calibrated probabilities of every candidate."""
     rows = cleaned(spark, sf_dir)
-    ensemble = fit_calibrated(_train(rows), "naive_bayes", (method,))[method]
-    scored = scored_labels(rows.filter(F.col("split") == "validation"), ensemble, "row_id")
-    return scored.select("row_id", "label", "prediction", r6("score").alias("probability"))
+    validation, parts = rows.filter(F.col("split") == "validation"), []
+    for name in ProjectOptions().models.candidates:
+        ensemble = fit_calibrated(_train(rows), name, (method,))[method]
+        scored = scored_labels(validation, ensemble, "row_id")
+        parts.append(scored.select(F.lit(name).alias("model"), "row_id", "label", "prediction", r6("score").alias("probability")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("calibrate_sigmoid")

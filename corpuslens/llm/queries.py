@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.llm import ann, decontaminate, html, license, lm, neardup, packing, rollup, toxicity, warc
+from corpuslens.llm import ann, decontaminate, html, infill, license, lm, neardup, packing, rollup, toxicity, warc
 from corpuslens.llm.common import crc_mod, table
 from corpuslens.sources.tables import materialize, shared_root
 
@@ -267,3 +267,39 @@ def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Interpolated bigram scores of all documents."""
     return lm.score(table(spark, sf_dir, "documents"))
+
+
+INFILL_SQL = r"""
+WITH doc AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), unit AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS u, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1,
+    CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2, CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+  FROM doc
+), cut AS (
+  SELECT *, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+      WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM unit
+), part AS (
+  SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix FROM cut
+)
+SELECT doc_id, CAST(len(u) AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM part
+"""
+
+
+@query("op11_infill", INFILL_SQL)
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut at lines into prefix, middle and suffix, and put together again."""
+    made = infill.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    form, output = F.col("infill.form"), F.col("infill.output")
+    return made.select(
+        "doc_id", "infill.n", form.alias("form"), "infill.prefix_chars", "infill.middle_chars",
+        F.sha2(output, 256).alias("output_sha256"), F.sha2(infill.restore(form, output), 256).alias("restored_sha256"),
+    )

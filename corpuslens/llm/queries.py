@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.llm import ann, decontaminate, html, infill, license, lm, neardup, packing, rollup, toxicity, warc
+from corpuslens.llm import ann, decontaminate, html, infill, langid, license, lm, neardup, packing, rollup, toxicity, warc
 from corpuslens.llm.common import crc_mod, table
 from corpuslens.sources.tables import materialize, shared_root
 
@@ -303,3 +303,15 @@ def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "infill.n", form.alias("form"), "infill.prefix_chars", "infill.middle_chars",
         F.sha2(output, 256).alias("output_sha256"), F.sha2(infill.restore(form, output), 256).alias("restored_sha256"),
     )
+
+
+@query("op12_language")
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents by models of the training folds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs)
+    best = F.coalesce("language.best", F.lit(langid.UNDETERMINED))
+    return langid.identify(docs, model).select(
+        "doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), best.alias("lang_pred"),
+        F.col("language.score").alias("score"), F.col("language.rejected").alias("rejected"),
+    )

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.llm import ann, decontaminate, html, infill, langid, license, lm, neardup, packing, rollup, toxicity, warc
+from corpuslens.llm import ann, decontaminate, dialogue, html, infill, langid, license, lm, neardup, packing, rollup, toxicity, warc
 from corpuslens.llm.common import crc_mod, table
 from corpuslens.sources.tables import materialize, shared_root
 
@@ -315,3 +315,69 @@ def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), best.alias("lang_pred"),
         F.col("language.score").alias("score"), F.col("language.rejected").alias("rejected"),
     )
+
+
+DIALOGUE_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t
+), raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+  FROM conversations
+), coded AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(key, ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+    lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1])), 4294967295) % 20 AS code
+  FROM raw, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+    CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE code WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM coded
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen, substr(role, 1, 1) AS ini
+  FROM damaged
+), flawed AS (
+  SELECT *, coalesce(lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini NOT IN ('su', 'ua', 'au'), false) AS illegal,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS flaw
+  FROM placed
+), counted AS (
+  SELECT conv_id, max(i) AS rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (flaw = 'blank') AS blank,
+    count(*) FILTER (flaw = 'duplicate') AS duplicate, count(*) FILTER (flaw = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM flawed GROUP BY conv_id
+), ahead(s, s2, c, a, o) AS (
+  VALUES (0, 0, 0, '', []), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []), (0, 2, 3, 'I', ['user:']), (1, 2, 3, 'I', ['user:']),
+    (3, 2, 3, 'I', ['user:']), (2, 3, 3, 'I', ['assistant:']), (0, 3, 6, 'II', ['user:', 'assistant:']), (1, 3, 6, 'II', ['user:', 'assistant:'])
+), edit(a, ini, s2, s3, c, new) AS (
+  VALUES ('D', NULL, NULL, NULL, 4, NULL), ('K', 's', 0, 1, 0, NULL), ('K', 'u', 0, 2, 0, NULL), ('K', 'u', 1, 2, 0, NULL), ('K', 'u', 3, 2, 0, NULL),
+    ('K', 'a', 2, 3, 0, NULL), ('R', NULL, 0, 2, 3, 'user'), ('R', NULL, 1, 2, 3, 'user'), ('R', NULL, 3, 2, 3, 'user'), ('R', NULL, 2, 3, 3, 'assistant')
+), walk(conv_id, i, s, best) AS (
+  SELECT conv_id, 0::BIGINT, 0, {'cost': 0, 'audit': '', 'kept': CAST([] AS VARCHAR[])} FROM counted
+  UNION ALL
+  SELECT w.conv_id, f.i, coalesce(e.s3, h.s2), min({
+    'cost': w.best.cost + h.c + e.c + CASE WHEN e.a <> 'D' AND f.flaw = 'truncated' THEN 3 ELSE 0 END,
+    'audit': w.best.audit || h.a || e.a,
+    'kept': list_concat(w.best.kept, h.o, CASE WHEN e.a = 'D' THEN [] ELSE [coalesce(e.new, f.role) || ':' || f.text] END)})
+  FROM walk w JOIN flawed f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+  JOIN ahead h ON h.s = w.s JOIN edit e ON (e.s2 IS NULL OR e.s2 = h.s2) AND (e.ini IS NULL OR e.ini = f.ini)
+    AND (e.a = 'D' OR f.flaw NOT IN ('blank', 'duplicate'))
+  GROUP BY w.conv_id, f.i, coalesce(e.s3, h.s2)
+), done AS (
+  SELECT w.conv_id, min({'cost': w.best.cost + h.c, 'audit': w.best.audit || h.a, 'kept': list_concat(w.best.kept, h.o)}) AS best
+  FROM walk w JOIN counted c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.rows = w.i JOIN ahead h ON h.s = w.s
+  WHERE h.s2 IN (0, 3) GROUP BY w.conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost,
+  coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.kept, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+@query("op13_dialogue", DIALOGUE_SQL)
+def op13_dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations damaged, judged and repaired."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return dialogue.report(dialogue.damaged(rows), rows)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,6 +68,33 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20)
             yield batch.slice(first, last - first)
 
 
+#: Functions that empty what a worker process keeps from task to task.
+CACHES: list[Callable[[], None]] = []
+
+
+def release() -> None:
+    """Give memory back to the system: a worker process outlives its task, and so would what it held."""
+    for clear in CACHES:
+        clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim is not None:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A task that starts without what earlier tasks of its worker left and leaves nothing itself."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
 def crc_mod(key: Column, modulus: int) -> Column:
     """``crc32`` of the key as text, modulo; a null key counts as empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % modulus

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpuslens.llm.common import ALNUM_TABLE, alnum_words, arrow_schema, slices, utf8
+from corpuslens.llm.common import ALNUM_TABLE, alnum_words, arrow_schema, lean, slices, utf8
 from corpuslens.sources.tables import materialize
 
 WINDOW = 13
@@ -125,26 +125,29 @@ def scan(
     usable = items.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL")
     size = usable.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size // block_bytes) or 1
-    rows = docs.select(*keep, F.col(text).alias("__text"))
-    schema = T.StructType([rows.schema[c] for c in keep] + [T.StructField("__text", T.StringType()), T.StructField(into, RESULT), T.StructField("__runs", T.ArrayType(T.ArrayType(T.LongType())))])
+    # a text that is kept goes to Python once
+    source = text if text in keep else "__text"
+    rows = docs.select(*keep) if text in keep else docs.select(*keep, F.col(text).alias(source))
+    carried = tuple(keep) if text in keep else (*keep, source)
+    schema = T.StructType([rows.schema[c] for c in carried] + [T.StructField(into, RESULT), T.StructField("__runs", T.ArrayType(T.ArrayType(T.LongType())))])
     for block in range(blocks):
         part = usable.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         loaded = spark.sparkContext.broadcast([(r[0], r[1].encode()) for r in part.collect()])
         if block:
             rows = materialize(rows, "decontaminate")
-        rows = rows.mapInArrow(scanner(loaded, tuple(keep), into, window, block == blocks - 1, schema), schema)
+        rows = rows.mapInArrow(lean(scanner(loaded, carried, source, into, window, block == blocks - 1, schema)), schema)
     return rows.select(*keep, into)
 
 
-def scanner(loaded, keep: tuple[str, ...], into: str, window: int, last: bool, schema: T.StructType):
+def scanner(loaded, carried: tuple[str, ...], source: str, into: str, window: int, last: bool, schema: T.StructType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = WindowAutomaton(loaded.value, window)
         target = arrow_schema(schema)
-        for batch in slices(batches, "__text"):
+        for batch in slices(batches, source):
             before = batch.column(into).to_pylist() if into in batch.schema.names else None
             earlier = batch.column("__runs").to_pylist() if before is not None else None
             found, kept_runs = [], []
-            for at, data in enumerate(utf8(batch.column("__text"))):
+            for at, data in enumerate(utf8(batch.column(source))):
                 words = alnum_words(data or b"")
                 runs, owners = automaton.hits(words)
                 if before is not None:
@@ -153,9 +156,9 @@ def scanner(loaded, keep: tuple[str, ...], into: str, window: int, last: bool, s
                 spans = offsets(data, runs) if runs and last else []
                 found.append({"n_words": len(words), "n_hit": sum(b - a + 1 for a, b in runs), "item_ids": sorted(owners), "spans": spans})
                 kept_runs.append([] if last else runs)
-            columns = [batch.column(c).cast(target.field(c).type) for c in (*keep, "__text")]
-            if last:
-                columns[-1] = pa.nulls(batch.num_rows, target.field("__text").type)
+            columns = [batch.column(c).cast(target.field(c).type) for c in carried]
+            if last and source == "__text":
+                columns[-1] = pa.nulls(batch.num_rows, target.field(source).type)
             columns += [pa.array(found, target.field(into).type), pa.array(kept_runs, target.field("__runs").type)]
             yield pa.RecordBatch.from_arrays(columns, schema=target)
 

@@ -17,7 +17,6 @@ N-grams are told apart by 56 bits of a hash: two of 10^8 share a number with a c
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslens.llm.common import arrow_schema, crc_mod, fields, slices, space_words, utf8
+from corpuslens.llm.common import arrow_schema, crc_mod, fields, release, slices, space_words, utf8
 from corpuslens.llm.superminhash import MULTIPLIER, WordHashes, mix
 from corpuslens.sources.tables import materialize
 
@@ -61,14 +60,6 @@ def unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u8").ravel()
 
 
-def release() -> None:
-    """Give freed memory back to the system: a worker process outlives its task, and so would what it held."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
-    if trim is not None:
-        trim(0)
-
-
 def shorten(keys: np.ndarray) -> np.ndarray:
     return mix(keys) >> np.uint64(64 - KEY_BITS)
 

@@ -24,14 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslens.llm.common import arrow_schema, fields, slices, utf8
+from corpuslens.llm.common import CACHES, arrow_schema, fields, slices, utf8
 from corpuslens.sources.tables import materialize
 
 CAPACITY = 2048
 PART_ROWS = 50_000
 ROUNDS = 4
-#: Words whose ids a worker remembers. Only time depends on it.
-CACHE_WORDS = 1_000_000
+#: Bytes of words and ids that a worker remembers, with what Python needs to hold an entry. Only time depends on it.
+CACHE_BYTES, ENTRY_BYTES = 96 << 20, 110
 
 PACKED = "row_no long, doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, fill long, part long, round int, part_bins long, part_bound long, release boolean"
 
@@ -48,11 +48,11 @@ class WordEncoder:
     that end a word; other chunks, and all chunks of a vocabulary without word ends, are encoded one by one.
     """
 
-    def __init__(self, path: str, limit: int = CACHE_WORDS):
+    def __init__(self, path: str, limit: int = CACHE_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
+        self.tokenizer, self.limit, self.known, self.held = Tokenizer.from_file(path), limit, {}, 0
         suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
         self.ends = None
         if suffix:
@@ -63,8 +63,8 @@ class WordEncoder:
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [text.split() for text in texts]
-        if len(self.known) > self.limit:
-            self.known = {}
+        if self.held > self.limit:
+            self.known, self.held = {}, 0
         known = self.known
         plain, marked, other = [], [], []
         for word in set().union(*split).difference(known) if split else ():
@@ -79,11 +79,14 @@ class WordEncoder:
                 data, first = ids.tobytes(), 0
                 for (word, _), cut in zip(words, cuts, strict=True):
                     known[word] = data[first:cut]
+                    self.held += len(word) + cut - first + ENTRY_BYTES
                     first = cut
         for first in range(0, len(other), 10_000):
             words = other[first : first + 10_000]
             coded = self.tokenizer.encode_batch_fast([t for _, t in words], add_special_tokens=False)
-            known.update((w, np.array(c.ids, "<u4").tobytes()) for (w, _), c in zip(words, coded))
+            for (word, _), code in zip(words, coded):
+                known[word] = np.array(code.ids, "<u4").tobytes()
+                self.held += len(word) + len(known[word]) + ENTRY_BYTES
         for words in split:
             yield b"".join([known[w] for w in words])
 
@@ -94,6 +97,9 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+CACHES.append(encoder.cache_clear)
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece: row_no (unique), doc_id, piece, start, length, ids_crc32.
 

@@ -106,7 +106,7 @@ FROM doc d LEFT JOIN sized s ON s.doc_id = d.doc_id LEFT JOIN least_id l ON l.do
 @query("op6_neardup", NEAR_SQL)
 def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents under shingle similarity 0.85."""
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key", "first")
 
 
 @query("op5_toxicity")

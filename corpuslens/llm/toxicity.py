@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpuslens.llm.common import ALNUM_TABLE, alnum_words, arrow_schema, crc_mod, slices, utf8
+from corpuslens.llm.common import ALNUM_TABLE, alnum_words, arrow_schema, crc_mod, lean, slices, utf8
 from corpuslens.llm.crf import Chain, Layout, fit, marginals
 
 FIT_ROWS = 2000
@@ -103,14 +103,16 @@ def score(docs: DataFrame, chain: Chain, text: str = "text", keep: tuple[str, ..
 
     One row per input row; null and empty texts get the score of a text without toxic words. Only the text decides.
     """
-    rows = docs.select(*keep, F.col(text).alias("__text"))
+    # a text that is kept goes to Python once
+    source = text if text in keep else "__text"
+    rows = docs.select(*keep) if text in keep else docs.select(*keep, F.col(text).alias(source))
     schema = T.StructType([rows.schema[c] for c in keep] + [T.StructField(into, RESULT)])
     loaded = docs.sparkSession.sparkContext.broadcast((chain.weights, chain.moves, chain.head))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known, target = Chain(*loaded.value), {}, arrow_schema(schema)
-        for batch in slices(batches, "__text", 2 << 20):
-            texts = [data or b"" for data in utf8(batch.column("__text"))]
+        for batch in slices(batches, source, 2 << 20):
+            texts = [data or b"" for data in utf8(batch.column(source))]
             split = [alnum_words(data) for data in texts]
             if len(known) > CACHE_WORDS:
                 known = {}
@@ -122,7 +124,7 @@ def score(docs: DataFrame, chain: Chain, text: str = "text", keep: tuple[str, ..
             columns = [batch.column(c).cast(target.field(c).type) for c in keep]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(found, target.field(into).type)], schema=target)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)
 
 
 def scored(prob: np.ndarray, lengths: np.ndarray, texts: list[bytes], head: np.ndarray) -> list[dict]:

@@ -92,3 +92,18 @@ def test_edges(spark, odd_docs, no_docs):
     assert by[3]["kept"] and by[4]["kept"] and by[5]["n_shingles"] == 1
     assert all(r["kept"] and r["component_id"] is None for r in rows if r["doc_id"] is None)
     assert neardup.near_duplicates(no_docs).count() == 0
+
+
+def test_one_id_with_several_texts(spark):
+    """Rows with one id are judged by their own texts, and a link held by one of them is not lost."""
+    a, b, c = (" ".join(f"{name}{n}" for n in range(60)) for name in "abc")
+    docs = [(1, a), (5, a + " more"), (5, b), (5, b), (5, c), (7, c + " x"), (9, b + " y")]
+    rows = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["first"]) for r in rows)
+    assert got == [(1, 56, 1, True), (5, 56, 5, True), (5, 56, 5, True), (5, 56, 5, True), (5, 57, 1, False), (7, 57, 5, False), (9, 57, 5, False)]
+
+
+def test_blocks_are_cut_by_shingles(spark, monkeypatch):
+    docs = corpus(5)
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 300)
+    assert found(neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))) == brute(docs)

@@ -33,3 +33,10 @@ def test_odd_documents_pass(spark, odd_docs, no_docs, small):
                 kept = [r["doc_id"] for r in out.collect()]
                 if docs.count() and name == "near_duplicates":
                     assert sorted(x for x in kept if x is not None) == [1, 3, 4, 5, 6, 7, 8] and kept.count(None) == 2
+
+
+def test_an_unlike_text_under_a_repeated_id_stays(spark, small):
+    a, b = (" ".join(f"{name}{n}" for n in range(60)) for name in "ab")
+    docs = spark.createDataFrame([(1, a, "en", "s", 1), (5, a, "en", "s", 1), (5, b, "en", "s", 1), (5, b, "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, small).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(1, a), (5, b)]

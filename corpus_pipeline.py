@@ -29,12 +29,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, and each row with a null id; of repeated rows one stays."""
-    groups = neardup.near_duplicates(docs)
-    rejected = groups.where("NOT kept").select(F.col("doc_id").alias("__rejected")).distinct()
-    kept = docs.hint("merge").join(rejected, docs["doc_id"] == rejected["__rejected"], "left_anti")
-    named, nameless = kept.where("doc_id IS NOT NULL"), kept.where("doc_id IS NULL")
-    return named.dropDuplicates(["doc_id"]).unionByName(nameless)
+    """One document of each near-duplicate group, and each row with a null id; of repeated rows one stays.
+
+    Rows are told apart by id and text: an id that occurs with texts that do not resemble each other keeps them all.
+    """
+    rejected = neardup.near_duplicates(docs).where("NOT first").select("doc_id", "text_key").distinct()
+    rejected = rejected.toDF("__id", "__key")
+    named, nameless = docs.where("doc_id IS NOT NULL"), docs.where("doc_id IS NULL")
+    named = named.withColumn("__text_key", neardup.text_key(F.col("text")))
+    same = (F.col("doc_id").cast("long") == F.col("__id")) & (F.col("__text_key") == F.col("__key"))
+    kept = named.hint("merge").join(rejected, same, "left_anti").dropDuplicates(["doc_id", "__text_key"])
+    return kept.drop("__text_key").unionByName(nameless)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -76,10 +76,15 @@ def release() -> None:
     """Give memory back to the system: a worker process outlives its task, and so would what it held."""
     for clear in CACHES:
         clear()
+    trim()
+
+
+def trim() -> None:
+    """Give freed memory back, and keep the caches."""
     pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
-    if trim is not None:
-        trim(0)
+    freed = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if freed is not None:
+        freed(0)
 
 
 def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):

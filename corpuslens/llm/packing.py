@@ -24,14 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslens.llm.common import CACHES, arrow_schema, fields, slices, utf8
+from corpuslens.llm.common import CACHES, arrow_schema, fields, slices, trim, utf8
 from corpuslens.sources.tables import materialize
 
 CAPACITY = 2048
 PART_ROWS = 50_000
 ROUNDS = 4
 #: Bytes of words and ids that a worker remembers, with what Python needs to hold an entry. Only time depends on it.
-CACHE_BYTES, ENTRY_BYTES = 96 << 20, 110
+CACHE_BYTES, ENTRY_BYTES = 48 << 20, 110
 
 PACKED = "row_no long, doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, fill long, part long, round int, part_bins long, part_bound long, release boolean"
 
@@ -53,7 +53,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit, self.known, self.held = Tokenizer.from_file(path), limit, {}, 0
-        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        # read from the text: the whole vocabulary as Python objects would stay in the worker's memory
+        found = re.search(r'"end_of_word_suffix":\s*("(?:[^"\\]|\\.)*")', self.tokenizer.to_str())
+        suffix = json.loads(found[1]) if found else None
         self.ends = None
         if suffix:
             vocabulary = self.tokenizer.get_vocab()
@@ -114,7 +116,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
 
         words, target = encoder(tokenizer), arrow_schema(schema)
         row_no = TaskContext.get().partitionId() << 40
-        for batch in slices(batches, "__text", 2 << 20):
+        for batch in slices(batches, "__text", 1 << 20):
             rows = []
             keys = batch.column("doc_id").to_pylist()
             for doc_id, ids in zip(keys, words.encode([data or b"" for data in utf8(batch.column("__text"))])):
@@ -125,6 +127,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
                     row_no += 1
             columns = list(zip(*rows))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, target)], schema=target)
+        trim()
 
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("__text")).mapInArrow(run, schema)
 

@@ -79,6 +79,8 @@ class ModelOptions:
     passive_aggressive_epochs: int = 1500
     passive_aggressive_shards: int = 8
     naive_bayes_alpha: float = 0.5
+    # True counts the intercept of logistic regression and SVM among the penalised weights.
+    penalise_intercept: bool = False
 
 
 @dataclass(frozen=True)

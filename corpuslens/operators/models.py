@@ -11,15 +11,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
-from pyspark.ml.classification import LinearSVC
-from pyspark.ml.classification import LogisticRegression as MLLogistic
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuslens.config import ModelOptions
 from corpuslens.functions import sparse
+from corpuslens.operators import solver
+from corpuslens.operators.solver import Fit
 
 PROBABILITY, DECISION = "probability", "decision_score"
 
@@ -62,18 +61,8 @@ def balanced(counts: dict[int, int]) -> dict[int, float]:
     return {k: total / (len(counts) * n) for k, n in counts.items()}
 
 
-def _weight_column(weights: dict[int, float]) -> Column:
-    chosen = F.lit(0.0)
-    for label, weight in weights.items():
-        chosen = F.when(F.col("label") == label, F.lit(weight)).otherwise(chosen)
-    return chosen
-
-
 def fit_majority(df: DataFrame, size: int) -> LinearModel:
-    """Most frequent class; a tie goes to the lower label."""
-    counts = class_counts(df)
-    winner = min(counts, key=lambda k: (-counts[k], k))
-    return LinearModel("dummy", np.zeros(size), 1.0 if winner == 1 else -1.0, "constant", False)
+    return majority_model(class_counts(df), size)
 
 
 @F.arrow_udf(
@@ -102,15 +91,8 @@ def class_term_sums(df: DataFrame) -> DataFrame:
     )
 
 
-def fit_naive_bayes(df: DataFrame, size: int, alpha: float = 0.5) -> LinearModel:
+def bayes_model(sums: dict[int, np.ndarray], counts: dict[int, int], size: int, alpha: float) -> LinearModel:
     """Multinomial naive Bayes in closed form from the class sums."""
-    counts = class_counts(df)
-    sums = {0: np.zeros(size), 1: np.zeros(size)}
-    # At most two rows per vocabulary entry, and the vocabulary is capped.
-    found = class_term_sums(df).toArrow()
-    labels, index, weight = (found.column(c).to_numpy() for c in ("label", "index", "weight"))
-    for k, total in sums.items():
-        total[index[labels == k]] = weight[labels == k]
     theta = {k: np.log(v + alpha) - np.log(v.sum() + alpha * size) for k, v in sums.items()}
     present = [k for k in (0, 1) if counts.get(k)]
     if len(present) < 2:
@@ -119,153 +101,84 @@ def fit_naive_bayes(df: DataFrame, size: int, alpha: float = 0.5) -> LinearModel
     return LinearModel("naive_bayes", theta[1] - theta[0], prior, "sigmoid", False)
 
 
-def _weighted(df: DataFrame) -> tuple[DataFrame, float]:
-    """(features, label, weight) with balanced weights, and the sum of the weights."""
+def fit_naive_bayes(df: DataFrame, size: int, alpha: float = 0.5) -> LinearModel:
+    """Naive Bayes of rows (label, features); class sums come from one aggregate."""
     counts = class_counts(df)
-    weights = balanced(counts)
-    data = df.select("features", F.col("label").cast("double"), _weight_column(weights).alias("weight"))
-    return data, sum(weights[k] * n for k, n in counts.items())
+    sums = {0: np.zeros(size), 1: np.zeros(size)}
+    # At most two rows per vocabulary entry, and the vocabulary is capped.
+    found = class_term_sums(df).toArrow()
+    labels, index, weight = (found.column(c).to_numpy() for c in ("label", "index", "weight"))
+    for k, total in sums.items():
+        total[index[labels == k]] = weight[labels == k]
+    return bayes_model(sums, counts, size, alpha)
 
 
-def _fitted(name: str, fitted, iterations: int, limit: int, link: str) -> LinearModel:
-    if iterations >= limit:
-        warnings.warn(f"{name} stopped at its limit of {limit} iterations", stacklevel=3)
-    return LinearModel(
-        name, fitted.coefficients.toArray(), float(fitted.intercept), link, True, iterations, iterations < limit
-    )
+def majority_model(counts: dict[int, int], size: int) -> LinearModel:
+    """Most frequent class; a tie goes to the lower label."""
+    winner = min(counts, key=lambda k: (-counts[k], k)) if counts else 0
+    return LinearModel("dummy", np.zeros(size), 1.0 if winner == 1 else -1.0, "constant", False)
 
 
-def fit_logistic(df: DataFrame, size: int, c: float = 2.0, max_iter: int = 2000) -> LinearModel:
-    """Balanced L2 logistic regression; the intercept is fitted without a penalty.
+def start_fit(
+    name: str, size: int, counts: dict[int, int], o: ModelOptions = ModelOptions(), places: np.ndarray | None = None
+) -> Fit:
+    """The fit of one named candidate for ``solver.solve``; it returns a LinearModel.
 
-    ``1/2 |w|^2 + C sum(s_i loss_i)`` equals the MLlib objective with regParam ``1 / (C sum(s_i))``.
+    ``places`` are the features that the model keeps out of ``size`` shared ones; None keeps all.
     """
-    data, total = _weighted(df)
-    fitted = MLLogistic(
-        weightCol="weight",
-        regParam=1.0 / (c * total),
-        elasticNetParam=0.0,
-        standardization=False,
-        fitIntercept=True,
-        maxIter=max_iter,
-        tol=1e-5,
-    ).fit(data)
-    return _fitted("logistic_regression", fitted, fitted.summary.totalIterations, max_iter, "sigmoid")
-
-
-def fit_linear_svm(df: DataFrame, size: int, c: float = 1.0, max_iter: int = 1000) -> LinearModel:
-    """Balanced linear support vector machine (hinge loss); the intercept is fitted without a penalty."""
-    data, total = _weighted(df)
-    fitted = LinearSVC(
-        weightCol="weight",
-        regParam=1.0 / (c * total),
-        standardization=False,
-        fitIntercept=True,
-        maxIter=max_iter,
-        tol=1e-4,
-    ).fit(data)
-    return _fitted("linear_svm", fitted, fitted.summary().totalIterations, max_iter, "margin")
-
-
-def fit_passive_aggressive(
-    df: DataFrame,
-    size: int,
-    c: float = 0.5,
-    epochs: int = 1500,
-    tolerance: float = 1e-3,
-    patience: int = 5,
-    shards: int = 8,
-) -> LinearModel:
+    kept = np.arange(size) if places is None else places
+    balance = {k: balanced(counts).get(k, 0.0) for k in (0, 1)}
+    weights = (balance[0], balance[1])
+    if name == "dummy":
+        return majority_model(counts, len(kept))
+    if name == "naive_bayes":
+        sums = yield from solver.summed_by_class(size)
+        return bayes_model({k: v[kept] for k, v in sums.items()}, counts, len(kept), o.naive_bayes_alpha)
+    if name == "logistic_regression":
+        found = yield from solver.trust_region_newton(
+            "logistic", size, weights, o.logistic_c, penalise_intercept=o.penalise_intercept, limit=o.logistic_max_iter
+        )
+        limit, link = f"{o.logistic_max_iter} iterations", "sigmoid"
+    elif name == "linear_svm":
+        found = yield from solver.trust_region_newton(
+            "squared hinge", size, weights, o.svm_c, penalise_intercept=o.penalise_intercept, limit=o.svm_max_iter
+        )
+        limit, link = f"{o.svm_max_iter} iterations", "margin"
+    elif name == "passive_aggressive":
+        found = yield from solver.passive_aggressive(size, weights, o.passive_aggressive_c, limit=o.passive_aggressive_epochs)
+        limit, link = f"{o.passive_aggressive_epochs} epochs", "margin"
+    else:
+        raise ValueError(f"Unknown model candidate: {name}")
+    if not found.converged:
+        warnings.warn(f"{name} stopped at its limit of {limit}", stacklevel=2)
+    return LinearModel(name, found.weights[:size][kept], float(found.weights[size]), link, True, found.iterations, found.converged)
+
+
+def _fitted(name: str, df: DataFrame, size: int, o: ModelOptions) -> LinearModel:
+    counts = class_counts(df)
+    with solver.dealt(df, sum(counts.values()), o.passive_aggressive_shards) as data:
+        return solver.solve(data, [solver.View()], [(0, start_fit(name, size, counts, o))])[0]
+
+
+def fit_logistic(df: DataFrame, size: int, c: float = 2.0, max_iter: int = 2000, penalise_intercept: bool = False) -> LinearModel:
+    """Balanced L2 logistic regression of rows (row_id, label, features)."""
+    o = ModelOptions(logistic_c=c, logistic_max_iter=max_iter, penalise_intercept=penalise_intercept)
+    return _fitted("logistic_regression", df, size, o)
+
+
+def fit_linear_svm(df: DataFrame, size: int, c: float = 1.0, max_iter: int = 1000, penalise_intercept: bool = False) -> LinearModel:
+    """Balanced linear support vector machine with the squared hinge loss, of rows (row_id, label, features)."""
+    return _fitted("linear_svm", df, size, ModelOptions(svm_c=c, svm_max_iter=max_iter, penalise_intercept=penalise_intercept))
+
+
+def fit_passive_aggressive(df: DataFrame, size: int, c: float = 0.5, epochs: int = 1500, shards: int = 8) -> LinearModel:
     """Averaged passive-aggressive learning by iterative parameter mixing.
 
-    Rows belong to one of ``shards`` by a hash of ``row_id`` and stand in the order of that hash, so the result
-    does not depend on how the input is partitioned. In each epoch every shard makes one pass over
-    its rows from the shared weights and returns its change and the mean of its weights; changes are
-    mixed in proportion to rows. Training stops after ``patience`` epochs without a smaller loss. The
-    driver holds a few vectors of the capped vocabulary size per shard.
+    Rows belong to a shard by a hash of ``row_id`` and stand in the order of that hash, so the result does not depend
+    on how the input is partitioned. There are at least ``shards``, and more where rows would exceed ``solver.SHARD_ROWS`` in one.
     """
-    weights = balanced(class_counts(df))
-    hashed = F.xxhash64("row_id")
-    data = (
-        df.select(F.pmod(hashed, F.lit(shards)).cast("int").alias("shard"), hashed.alias("place"), "row_id", "features", "label")
-        .repartition(shards, "shard")
-        .sortWithinPartitions("shard", "place", "row_id")
-        .select("shard", "features", "label")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    current = np.zeros(size + 1)
-    averaged = np.zeros(size + 1)
-    best, waited, done = np.inf, 0, 0
-
-    def finished(shard, start, w, mean, rows, loss):
-        mean = w - mean / rows
-        changed = np.flatnonzero((w != start) | (mean != start))
-        return pa.RecordBatch.from_pydict(
-            {
-                "shard": pa.array(np.full(len(changed) + 1, shard), pa.int32()),
-                "index": pa.array(np.append(changed, -1), pa.int32()),
-                "delta": pa.array(np.append((w - start)[changed], loss)),
-                "mean": pa.array(np.append((mean - start)[changed], 0.0)),
-                "rows": pa.array(np.full(len(changed) + 1, rows), pa.int64()),
-            }
-        )
-
-    try:
-        while done < epochs and waited < patience:
-            start = current
-
-            def one_pass(batches, start=start):
-                shard = None
-                for batch in batches:
-                    lengths, index, value = sparse.unpack(batch.column("features"))
-                    labels = np.asarray(batch.column("label"))
-                    shard_of = np.asarray(batch.column("shard"))
-                    ends = np.cumsum(lengths)
-                    for i, end in enumerate(ends):
-                        if shard_of[i] != shard:
-                            if shard is not None:
-                                yield finished(shard, start, w, mean, rows, loss_sum)
-                            shard, rows, loss_sum = shard_of[i], 0, 0.0
-                            w, mean = start.copy(), np.zeros_like(start)
-                        ix, x = index[end - lengths[i] : end], value[end - lengths[i] : end]
-                        y = 1.0 if labels[i] == 1 else -1.0
-                        # the last weight is the intercept's, on a feature of 1
-                        loss = max(0.0, 1.0 - y * (float(w[ix] @ x) + w[size]))
-                        rows += 1
-                        if loss > 0.0:
-                            step = min(c * weights[int(labels[i])], loss / (float(x @ x) + 1.0)) * y
-                            w[ix] += step * x
-                            w[size] += step
-                            # The mean over rows, kept sparse: an update counts from this row on.
-                            mean[ix] += step * x * (rows - 1)
-                            mean[size] += step * (rows - 1)
-                        loss_sum += loss
-                if shard is not None:
-                    yield finished(shard, start, w, mean, rows, loss_sum)
-
-            schema = "shard int, index int, delta double, mean double, rows bigint"
-            mixed = data.mapInArrow(one_pass, schema).toArrow().sort_by([("shard", "ascending"), ("index", "ascending")])
-            index, change, centre, rows = (mixed.column(k).to_numpy() for k in ("index", "delta", "mean", "rows"))
-            summary = index == -1
-            if not summary.any():
-                break
-            total = rows[summary].sum()
-            loss = change[summary].sum() / total
-            index, change, centre, rows = (k[~summary] for k in (index, change, centre, rows))
-            delta = np.bincount(index, change * rows, size + 1) / total
-            mean = np.bincount(index, centre * rows, size + 1) / total
-            averaged = (averaged * done + current + mean) / (done + 1)
-            current = current + delta
-            done += 1
-            waited = 0 if loss < best - tolerance else waited + 1
-            best = min(best, loss)
-    finally:
-        data.unpersist()
-    if done >= epochs and waited < patience:
-        warnings.warn(f"passive_aggressive stopped at its limit of {epochs} epochs", stacklevel=2)
-    return LinearModel(
-        "passive_aggressive", averaged[:size], float(averaged[size]), "margin", True, done, done < epochs or waited >= patience
-    )
+    o = ModelOptions(passive_aggressive_c=c, passive_aggressive_epochs=epochs, passive_aggressive_shards=shards)
+    return _fitted("passive_aggressive", df, size, o)
 
 
 def fit_classifier(
@@ -276,15 +189,7 @@ def fit_classifier(
         return fit_majority(df, size)
     if name == "naive_bayes":
         return fit_naive_bayes(df, size, o.naive_bayes_alpha)
-    if name == "logistic_regression":
-        return fit_logistic(df, size, o.logistic_c, o.logistic_max_iter)
-    if name == "passive_aggressive":
-        return fit_passive_aggressive(
-            df, size, o.passive_aggressive_c, o.passive_aggressive_epochs, shards=o.passive_aggressive_shards
-        )
-    if name == "linear_svm":
-        return fit_linear_svm(df, size, o.svm_c, o.svm_max_iter)
-    raise ValueError(f"Unknown model candidate: {name}")
+    return _fitted(name, df, size, o)
 
 
 def margin(model: LinearModel) -> Column:

@@ -27,13 +27,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt over as many tasks as there are cores, where the files give fewer.
+
+    A table in one row group would otherwise be normalised, tokenised and counted by one task. Tables of many
+    files stay as they are: nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def _titled(df: DataFrame) -> DataFrame:
     title = F.substring_index("text", "\n", 1)
     return df.withColumns({"title": title, "body": F.substring("text", F.length(title) + 2, F.length("text"))})
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     joined = _titled(documents.join(labels, "doc_id"))
     return joined.select(
@@ -46,7 +58,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def collection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _titled(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    documents = _titled(spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id"))
     return documents.select(
         F.col("doc_id").alias("row_id"),
         "title",

@@ -7,13 +7,17 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens.config import ProjectOptions
+from corpuslens.functions import sparse
 from corpuslens.operators import models as md
+from corpuslens.operators import solver
 from corpuslens.operators.calibrate import fit_calibrated, fit_pipeline
 from corpuslens.operators.features import with_features
+from corpuslens.operators.folds import FoldRun
 from corpuslens.operators.metrics import threshold_metrics
 from corpuslens.operators.score import Member, TextModel, scored_labels
 from corpuslens.operators.validation import cv_summary as summarize
@@ -23,7 +27,7 @@ from corpuslens.plans.queries.features import FITTED, cleaned, fitted, tfidf_cte
 from corpuslens.plans.queries.registry import query, r6
 from corpuslens.plans.train import COMPARISON, compare_candidates
 from corpuslens.sources.models import load_model, model_tables, save_model
-from corpuslens.sources.tables import shared_root, write_processed
+from corpuslens.sources.tables import materialize, shared_root, write_processed
 
 
 def _train(rows):
@@ -105,11 +109,57 @@ for _key, _name in (
         return _fit_report(spark, sf_dir, name)
 
 
+_OPTIMUM = f"""WITH RECURSIVE {fx.ARTICLES}, data AS (
+  SELECT CASE label WHEN 1 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS y, ln(1 + length(text)) / 10 AS x,
+         count(*) OVER ()::DOUBLE / (2 * count(*) OVER (PARTITION BY label)) AS s FROM articles),
+walk(loss, c, penalised, k, w, b) AS (
+  SELECT loss, c, penalised, 0, 0.0::DOUBLE, 0.0::DOUBLE
+  FROM (VALUES ('logistic', 2.0::DOUBLE), ('squared hinge', 1.0::DOUBLE)) l(loss, c), (VALUES (false), (true)) p(penalised)
+  UNION ALL
+  SELECT loss, c, penalised, k + 1, w - (h22 * g1 - h12 * g2) / (h11 * h22 - h12 * h12), b - (h11 * g2 - h12 * g1) / (h11 * h22 - h12 * h12)
+  FROM (SELECT loss, c, penalised, k, w, b, w + c * sum(s * d1 * x) AS g1, b * penalised::INT + c * sum(s * d1) AS g2,
+               1 + c * sum(s * d2 * x * x) AS h11, c * sum(s * d2 * x) AS h12, penalised::INT + c * sum(s * d2) AS h22
+        FROM (SELECT walk.*, x, s,
+                     CASE loss WHEN 'logistic' THEN -y / (1 + exp(y * (w * x + b))) ELSE -2 * y * greatest(0, 1 - y * (w * x + b)) END AS d1,
+                     CASE loss WHEN 'logistic' THEN 1 / ((1 + exp(y * (w * x + b))) * (1 + exp(-y * (w * x + b))))
+                       ELSE 2 * (y * (w * x + b) < 1)::INT END AS d2
+              FROM walk, data WHERE k < 40) z
+        GROUP BY loss, c, penalised, k, w, b) q)
+SELECT loss, penalised, round(w, 6) AS weight, round(b, 6) AS intercept FROM walk WHERE k = 40"""
+
+
+@query("solver_optimum", _OPTIMUM)
+def solver_optimum(spark, sf_dir):
+    """Both losses, with and without a penalty on the intercept, at their optimum over one feature: the text's length."""
+    rows = fx.articles(spark, sf_dir)
+
+    @F.arrow_udf(VectorUDT())
+    def single(values):
+        count = len(values)
+        return sparse.pack(1, np.ones(count, np.int64), np.zeros(count, np.int32), np.asarray(values))
+
+    vectors = rows.select("row_id", "label", single(F.log1p(F.length("text")) / 10).alias("features"))
+    vectors = materialize(vectors, "lengths")
+    weights = md.balanced(md.class_counts(vectors))
+    cases = [(loss, c, penalised) for loss, c in (("logistic", 2.0), ("squared hinge", 1.0)) for penalised in (False, True)]
+    fits = [
+        (0, solver.trust_region_newton(loss, 1, (weights[0], weights[1]), c, penalise_intercept=penalised, tolerance=1e-11))
+        for loss, c, penalised in cases
+    ]
+    with solver.dealt(vectors, vectors.count()) as data:
+        found = solver.solve(data, [solver.View()], fits)
+    lines = [(loss, penalised, *map(float, s.weights)) for (loss, _, penalised), s in zip(cases, found)]
+    table = spark.createDataFrame(lines, "loss string, penalised boolean, weight double, intercept double")
+    return table.select("loss", "penalised", r6("weight").alias("weight"), r6("intercept").alias("intercept"))
+
+
 @query("cv_summary")
 def cv_summary(spark, sf_dir):
     """Five folds of every candidate, each with its own vocabulary."""
     train = _train(cleaned(spark, sf_dir))
-    lines = [(name, *summarize(fold_scores(train, name))) for name in ProjectOptions().models.candidates]
+    candidates = ProjectOptions().models.candidates
+    run = FoldRun(train, candidates)
+    lines = [(name, *summarize(fold_scores(train, name, run=run))) for name in candidates]
     return spark.createDataFrame(lines, "model string, cv_macro_f1_mean double, cv_macro_f1_std double")
 
 

@@ -202,3 +202,61 @@ def split_pivot(df: DataFrame) -> DataFrame:
         .na.fill(0)
         .withColumnsRenamed({"0": "label_0", "1": "label_1"})
     )
+
+
+def split_rolling(df: DataFrame, windows: int = 4, span: int | None = None, date: str = "date") -> DataFrame:
+    """Rolling evaluation: ``window`` and ``split`` (train or test) beside each row, once for every window it is in.
+
+    Time is cut into ``windows + 1`` equal runs of rows. Window w tests on run w + 1 and trains on all runs before it,
+    or on the last ``span`` ones. Undated rows come last, ties go by ``row_id``. The cuts come from one
+    ``order_statistics`` call; each row finds its windows by comparing its own key with them.
+    """
+    moment = F.coalesce(F.unix_micros(parse_date(F.col(date))), F.lit(_LAST))
+    keyed = df.withColumn("__moment", moment)
+    narrow = materialize(keyed.select("__moment", "row_id"), "moments")
+    keys, total = ["__moment", "row_id"], narrow.count()
+    ranks = [total * k // (windows + 1) for k in range(1, windows + 1)]
+    found = order_statistics(narrow, keys, [r for r in ranks if r < total])
+    run = F.lit(0)
+    for rank in ranks:
+        inside = below(keys, found[rank]) if rank < total else F.lit(True)
+        run = run + F.when(inside, 0).otherwise(1)
+    places = []
+    for window in range(windows):
+        train = F.col("__run") <= window
+        if span is not None:
+            train = train & (F.col("__run") > window - span)
+        part = F.when(F.col("__run") == window + 1, "test").when(train, "train")
+        places.append(F.struct(F.lit(window).alias("window"), part.alias("split")))
+    rows = keyed.withColumn("__run", run).withColumn("__place", F.explode(F.filter(F.array(*places), lambda p: p["split"].isNotNull())))
+    return rows.select(*df.columns, "__place.window", "__place.split")
+
+
+def split_sources(df: DataFrame, o: SplitOptions = SplitOptions(), source: str = "subject", heavy: float = 0.001) -> DataFrame:
+    """Source-held-out split: all rows of a source are in one split, near the wanted shares.
+
+    Sources with at least the share ``heavy`` of the rows (at most 1 / ``heavy`` of them) go one by one, the largest
+    first, to the split that lacks most rows; ties go to the smaller name and the earlier split. The others go by a seeded hash in
+    proportion to what is then lacking. Rows without a source form one of their own.
+    """
+    name = F.coalesce(F.col(source), F.lit(""))
+    counts = df.groupBy(name.alias("__source")).agg(F.count("*").alias("n"))
+    total = df.count()
+    large = counts.filter(F.col("n") >= heavy * total).orderBy(F.col("n").desc(), "__source").collect()
+    lacking = [share * total for share in (o.train_size, o.validation_size, o.test_size)]
+    chosen = []
+    for r in large:
+        place = max(range(3), key=lambda k: (lacking[k], -k))
+        lacking[place] -= r["n"]
+        chosen.append((r["__source"], SPLITS[place]))
+    rest = [max(0.0, x) for x in lacking]
+    whole = sum(rest) or 1.0
+    position = unit(seeded(F.col("__source"), o.seed))
+    light = (
+        F.when(position < rest[0] / whole, SPLITS[0])
+        .when(position < (rest[0] + rest[1]) / whole, SPLITS[1])
+        .otherwise(SPLITS[2])
+    )
+    table = df.sparkSession.createDataFrame(chosen, "__source string, __split string")
+    rows = df.withColumn("__source", name).join(F.broadcast(table), "__source", "left")
+    return rows.withColumn("split", F.coalesce("__split", light)).select(*df.columns, "split")

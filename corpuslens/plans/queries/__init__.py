@@ -9,6 +9,7 @@ from corpuslens.plans.queries import (  # noqa: F401
     profile,
     scoring,
     splits,
+    streams,
     texts,
 )
 from corpuslens.plans.queries.registry import ORACLES, QUERIES

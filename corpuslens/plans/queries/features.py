@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from corpuslens.config import NEGATIONS, FeatureOptions
 from corpuslens.functions import tokens as tk
 from corpuslens.functions.stopwords import without
+from corpuslens.operators import drift
 from corpuslens.operators import features as ft
 from corpuslens.operators.split import split_groups
 from corpuslens.plans.queries import fixtures as fx
@@ -189,3 +190,40 @@ def feature_matrix(spark, sf_dir):
     rows = cleaned(spark, sf_dir)
     vectors = ft.with_features(rows, fitted(rows))
     return ft.vector_stats(vectors, "features", "row_id", "split").withColumn("norm", r6("norm"))
+
+
+_MERGED = f"""{fx.SPLIT}, merged AS (
+  SELECT term, count(*) FILTER (NOT current) AS before, count(*) FILTER (current) AS after
+  FROM (SELECT split <> 'train' AS current, unnest({tokens_sql()}) AS term FROM split) t GROUP BY term),
+shares AS (
+  SELECT *, before / nullif(sum(before) OVER (), 0) AS p, after / nullif(sum(after) OVER (), 0) AS q FROM merged),
+parted AS (
+  SELECT *, (CASE WHEN p = 0 THEN 0 ELSE p * log2(p / ((p + q) / 2)) END + CASE WHEN q = 0 THEN 0 ELSE q * log2(q / ((p + q) / 2)) END) / 2 AS drift
+  FROM shares)"""
+
+
+def _merged(spark, sf_dir):
+    """Words of the training articles and of all others."""
+    rows = split_groups(fx.prepared(spark, sf_dir)).withColumn("terms", tk.model_tokens(F.col("clean"), True))
+    return materialize(drift.slice_terms(rows, "terms", F.col("split") != "train"), "drift")
+
+
+@query(
+    "vocab_drift",
+    f"""WITH {_MERGED} SELECT count(*) FILTER (before > 0) AS reference_terms, count(*) FILTER (after > 0) AS current_terms,
+        count(*) FILTER (before > 0 AND after > 0) AS shared_terms, round(sum(drift), 6) AS js_divergence,
+        round(sum(after) FILTER (before = 0)::DOUBLE / sum(after), 6) AS unknown_tokens,
+        round(count(*) FILTER (before = 0 AND after > 0)::DOUBLE / count(*) FILTER (after > 0), 6) AS unknown_terms FROM parted""",
+)
+def vocab_drift(spark, sf_dir):
+    found = drift.vocabulary_drift(_merged(spark, sf_dir))
+    rounded = {c: r6(c) for c in ("js_divergence", "unknown_tokens", "unknown_terms")}
+    return found.withColumns(rounded)
+
+
+@query(
+    "vocab_drift_terms",
+    f"""WITH {_MERGED} SELECT term, before, after, round(drift, 6) AS drift FROM parted ORDER BY round(parted.drift, 12) DESC, term LIMIT 30""",
+)
+def vocab_drift_terms(spark, sf_dir):
+    return drift.drifting_terms(_merged(spark, sf_dir)).withColumn("drift", r6("drift"))

@@ -46,8 +46,11 @@ def _titled(df: DataFrame) -> DataFrame:
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    joined = _titled(documents.join(labels, "doc_id"))
+    return labelled(documents, table(spark, sf_dir, "labels"))
+
+
+def labelled(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    joined = _titled(documents.join(labels.select("doc_id", "quality"), "doc_id"))
     return joined.select(
         F.col("doc_id").alias("row_id"),
         "title",

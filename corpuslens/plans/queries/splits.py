@@ -101,3 +101,47 @@ def split_pivot(spark, sf_dir):
 )
 def kfold_assign(spark, sf_dir):
     return sp.assign_folds(fx.articles(spark, sf_dir), 5).select("row_id", "label", "fold")
+
+
+@query(
+    "split_rolling",
+    """WITH ordered AS (
+         SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS k, count(*) OVER () AS n FROM events),
+       placed AS (
+         SELECT event_id, (k >= n // 5)::INT + (k >= n * 2 // 5)::INT + (k >= n * 3 // 5)::INT + (k >= n * 4 // 5)::INT AS run FROM ordered)
+       SELECT event_id AS row_id, CAST(w AS INTEGER) AS "window", CASE WHEN run = w + 1 THEN 'test' ELSE 'train' END AS split
+       FROM placed, range(4) r(w) WHERE run BETWEEN w - 1 AND w + 1""",
+)
+def split_rolling(spark, sf_dir):
+    """Four windows over the events: each trains on two runs of rows and tests on the next."""
+    events = fx.table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("row_id"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("date"),
+    )
+    return sp.split_rolling(events, 4, 2).select("row_id", "window", "split")
+
+
+_SOURCES = f"""WITH RECURSIVE {fx.COLLECTION}, named AS (SELECT row_id, coalesce(subject, '') AS name FROM collection),
+total AS (SELECT count(*) AS n FROM named),
+large AS (
+  SELECT name, rows, row_number() OVER (ORDER BY rows DESC, name) AS k
+  FROM (SELECT name, count(*) AS rows FROM named GROUP BY name), total WHERE rows >= 0.001::DOUBLE * n),
+greedy(k, name, place, a, b, c) AS (
+  SELECT 0::BIGINT, '', 0, 0.7::DOUBLE * n, 0.15::DOUBLE * n, 0.15::DOUBLE * n FROM total
+  UNION ALL
+  SELECT k, name, place, a - CASE place WHEN 1 THEN rows ELSE 0 END, b - CASE place WHEN 2 THEN rows ELSE 0 END,
+         c - CASE place WHEN 3 THEN rows ELSE 0 END
+  FROM (SELECT l.k, l.name, l.rows, g.a, g.b, g.c,
+               CASE WHEN g.a >= g.b AND g.a >= g.c THEN 1 WHEN g.b >= g.c THEN 2 ELSE 3 END AS place
+        FROM greedy g JOIN large l ON l.k = g.k + 1) s),
+rest AS (SELECT greatest(a, 0) AS a, greatest(b, 0) AS b, greatest(c, 0) AS c FROM greedy ORDER BY k DESC LIMIT 1),
+share AS (SELECT a / coalesce(nullif(a + b + c, 0), 1) AS x, (a + b) / coalesce(nullif(a + b + c, 0), 1) AS y FROM rest)
+SELECT row_id, CASE place WHEN 1 THEN 'train' WHEN 2 THEN 'validation' WHEN 3 THEN 'test' ELSE
+    CASE WHEN {fx.hash60_sql("n.name || '|42'")} / pow(2.0::DOUBLE, 60) < x THEN 'train'
+         WHEN {fx.hash60_sql("n.name || '|42'")} / pow(2.0::DOUBLE, 60) < y THEN 'validation' ELSE 'test' END END AS split
+FROM named n CROSS JOIN share LEFT JOIN greedy g ON g.name = n.name AND g.k > 0"""
+
+
+@query("split_source_heldout", _SOURCES)
+def split_source_heldout(spark, sf_dir):
+    return sp.split_sources(fx.collection(spark, sf_dir)).select("row_id", "split")

@@ -31,7 +31,7 @@ CAPACITY = 2048
 PART_ROWS = 50_000
 ROUNDS = 4
 #: Bytes of words and ids that a worker remembers, with what Python needs to hold an entry. Only time depends on it.
-CACHE_BYTES, ENTRY_BYTES = 48 << 20, 110
+CACHE_BYTES, ENTRY_BYTES = 128 << 20, 110
 
 PACKED = "row_no long, doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, fill long, part long, round int, part_bins long, part_bound long, release boolean"
 
@@ -116,7 +116,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
 
         words, target = encoder(tokenizer), arrow_schema(schema)
         row_no = TaskContext.get().partitionId() << 40
-        for batch in slices(batches, "__text", 1 << 20):
+        for batch in slices(batches, "__text", 2 << 20):
             rows = []
             keys = batch.column("doc_id").to_pylist()
             for doc_id, ids in zip(keys, words.encode([data or b"" for data in utf8(batch.column("__text"))])):

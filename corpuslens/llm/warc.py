@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.sources.tables import materialize
+from corpuslens.sources.tables import materialize, shared_root
 
 #: Payloads from here on are written once and revisited.
 REVISIT_FROM = 1000
@@ -82,8 +82,12 @@ def write(pages: DataFrame, least: int = REVISIT_FROM, date: str = DATE) -> Arch
     name = f"warc_payloads_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     large = once(store.where(~short)).repartition(buckets, "sha256")
-    large.write.bucketBy(buckets, "sha256").sortBy("sha256").option("compression", "zstd").saveAsTable(name)
-    return Archive(materialize(heads, "heads"), spark.table(name), materialize(once(store.where(short)), "payloads"))
+    # buckets need a name in the catalogue; the files lie in the shared folder and outlive the name
+    folder = f"{shared_root(spark)}/corpuslens/{spark.sparkContext.applicationId}/{name}"
+    large.write.bucketBy(buckets, "sha256").sortBy("sha256").option("compression", "zstd").option("path", folder).saveAsTable(name)
+    bucketed = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return Archive(materialize(heads, "heads"), bucketed, materialize(once(store.where(short)), "payloads"))
 
 
 def records(archive: Archive, least: int = REVISIT_FROM) -> DataFrame:

@@ -48,3 +48,23 @@ def test_damage_is_noticed(spark, pages):
 
 def test_empty(spark, pages):
     assert warc.read(spark, warc.write(pages.limit(0))).count() == 0
+
+
+def test_payloads_lie_in_the_shared_folder(spark, pages):
+    from corpuslens.sources.tables import shared_root
+
+    archive = warc.write(pages)
+    root = shared_root(spark).removeprefix("file:")
+    assert all(root in path for path in archive.large.inputFiles())
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("warc_payloads")]
+    heads = archive.heads.where("carries").select("page_id", "head", "sha256")
+    plan = heads.hint("merge").join(archive.large, "sha256")._jdf.queryExecution().toString()
+    assert "Bucketed: true" in plan or "SelectedBucketsCount" in plan
+
+
+def test_a_very_long_payload(spark):
+    text = "é long payload\r\n\r\n" * 200_000
+    pages = spark.createDataFrame([(1, "u", text), (2, "u", text)], "page_id long, url string, html string")
+    rows = {r["page_id"]: r for r in warc.read(spark, warc.write(pages)).collect()}
+    assert bytes(rows[2]["payload"]).decode() == text and rows[1]["refers_to"] == 2
+    assert rows[1]["payload_bytes"] == len(text.encode())

@@ -255,6 +255,18 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.totals()
 
 
+@query("op8_vocabulary_counts")
+def op8_vocabulary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by the ids of a public vocabulary over all documents: a load, the same load again, and the deletion of
+    documents whose id is divisible by 50."""
+    path = tokenizer_path()
+    counts = materialize(rollup.vocabulary_counts(table(spark, sf_dir, "documents"), path, "word_bpe_49k"), "counts")
+    book = rollup.Rollup(spark, f"{shared_root(spark)}/corpuslens/rollup-{uuid.uuid4().hex}")
+    book.commit("load", rollup.inserts(counts))
+    book.compact()
+    book.commit("load", rollup.inserts(counts))
+    book.commit("deleted", rollup.deletes(counts.where("doc_id % 50 = 0")))
+    return book.totals()
 
 
 @query("op7_neighbours")

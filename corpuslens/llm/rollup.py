@@ -50,13 +50,14 @@ class Rollup:
     def commit(self, batch: str, changes: DataFrame) -> None:
         """Write a batch's signed sums. A hot source is summed in each task before anything is moved.
 
-        Null counts add nothing; null keys form groups of their own. A batch without changes is committed too.
+        Null counts add nothing; null keys form groups of their own. A batch without changes is committed too. Rows
+        may repeat and may have other columns; only keys, docs and tokens are read.
         """
         if not re.fullmatch(r"[\w-]+", batch):
             raise ValueError("a batch id has letters, digits, _ and - only")
         sums = changes.groupBy(*KEYS).agg(
             F.sum("docs").cast("long").alias("docs"), F.coalesce(F.sum("tokens"), F.lit(0)).cast("long").alias("tokens"), F.count("*").alias("changes"))
-        sums.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/deltas/batch={batch}")
+        sums.write.mode("overwrite").parquet(f"{self.root}/deltas/batch={batch}")
 
     def _read(self, folder: str, schema: str) -> DataFrame:
         try:
@@ -74,22 +75,32 @@ class Rollup:
         return self._read("snapshots", f"{DELTA}, batches array<string>, number int")
 
     def totals(self) -> DataFrame:
-        """source, lang, tokenizer, docs, tokens, changes over all batches, each once."""
+        """source, lang, tokenizer, docs, tokens, changes over all batches, each once; no rows before the first batch."""
         number, covered = self._latest()
-        open_ = self.deltas().where(~F.col("batch").isin(covered)) if covered else self.deltas()
-        parts = open_.select(*KEYS, "docs", "tokens", "changes")
+        return self._sum(number, self.deltas().where(~F.col("batch").isin(covered)) if covered else self.deltas())
+
+    def _sum(self, number: int, batches: DataFrame) -> DataFrame:
+        """Snapshot ``number`` (0 is none) and ``batches`` that it does not cover."""
+        parts = batches.select(*KEYS, "docs", "tokens", "changes")
         if number:
             parts = parts.unionByName(self.snapshots().where(F.col("number") == number).where("changes IS NOT NULL").select(*KEYS, "docs", "tokens", "changes"))
         return parts.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in ("docs", "tokens", "changes")])
 
     def compact(self) -> None:
-        """Write a snapshot of all batches committed so far; a later commit of one of them changes nothing."""
+        """Write a snapshot of all batches committed so far; a later commit of one of them changes nothing.
+
+        The batches are listed once, and the snapshot sums exactly those: one that is committed meanwhile stays open.
+        Compactions of one book must not run side by side. The list grows with the number of batches, not with rows.
+        """
         number, covered = self._latest()
-        batches = sorted(set(covered) | {r[0] for r in self.deltas().select("batch").distinct().collect()})
+        fresh = sorted({r[0] for r in self.deltas().select("batch").distinct().collect()} - set(covered))
+        batches = sorted({*covered, *fresh})
         listed = F.array(*[F.lit(b) for b in batches]) if batches else F.array().cast("array<string>")
         marker = self.spark.range(1).select(*[F.lit(None).cast(kind).alias(name) for name, kind in (c.split() for c in DELTA.split(", "))])
-        rows = self.totals().unionByName(marker).withColumn("batches", listed)
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/snapshots/number={number + 1}")
+        summed = self._sum(number, self.deltas().where(F.col("batch").isin(fresh)))
+        # the marker alone carries the list, so that rows do not repeat it
+        rows = summed.withColumn("batches", F.lit(None).cast("array<string>")).unionByName(marker.withColumn("batches", listed))
+        rows.write.mode("overwrite").parquet(f"{self.root}/snapshots/number={number + 1}")
 
     def _latest(self) -> tuple[int, list[str]]:
         """Number of the newest snapshot and the batches in it (0 and none before the first)."""
@@ -98,13 +109,17 @@ class Rollup:
 
 
 def counted(docs: DataFrame, versions: tuple[str, ...] = tuple(WORD_COUNTS)) -> DataFrame:
-    """One row per document and tokenizer version: doc_id, source, lang, tokenizer, tokens."""
+    """One row per document and tokenizer version: doc_id, source, lang, n_chars, tokenizer, tokens.
+
+    Null and empty texts count 0; repeated rows count each time; an empty table gives an empty result. Other columns
+    are not read.
+    """
     each = F.explode(F.array(*[F.struct(F.lit(v).alias("tokenizer"), word_count(F.col("text"), v).alias("tokens")) for v in versions]))
     return docs.select("doc_id", "source", "lang", "n_chars", each.alias("count")).select("doc_id", "source", "lang", "n_chars", "count.tokenizer", "count.tokens")
 
 
 def vocabulary_counts(docs: DataFrame, path: str, version: str) -> DataFrame:
-    """The same with the ids of a tokenizer file."""
+    """doc_id, source, lang, tokenizer and the number of ids that a tokenizer file gives; cases as in ``counted``."""
     from corpuslens.llm.packing import id_counts
 
     return id_counts(docs, path).withColumn("tokenizer", F.lit(version))

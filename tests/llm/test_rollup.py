@@ -48,3 +48,36 @@ def test_counts(odd_docs, no_docs):
     assert rollup.counted(no_docs).count() == 0
     ids = {r["doc_id"]: r["tokens"] for r in rollup.vocabulary_counts(odd_docs, tokenizer_path(), "bpe").where("doc_id IS NOT NULL").collect()}
     assert ids[3] == 0 and ids[1] >= 14
+
+
+def test_a_batch_committed_during_compaction_counts_once(spark, book, monkeypatch):
+    make = lambda n: rollup.inserts(spark.createDataFrame([("a", "en", "t", n)], "source string, lang string, tokenizer string, tokens long"))
+    book.commit("one", make(5))
+    summed = book._sum
+
+    def late(number, batches):
+        book.commit("two", make(7))  # after the batches were listed, before they are summed
+        return summed(number, batches)
+
+    monkeypatch.setattr(book, "_sum", late)
+    book.compact()
+    monkeypatch.undo()
+    assert state(book) == {("a", "en", "t"): (2, 12)}
+    book.compact()
+    assert state(book) == {("a", "en", "t"): (2, 12)}
+
+
+def test_vocabulary_query_by_brute_force(spark, small):
+    from tokenizers import Tokenizer
+
+    from corpuslens.llm.queries import op8_vocabulary_counts
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    want = {}
+    for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang", "source").collect():
+        docs, tokens = want.setdefault((r["source"], r["lang"], "word_bpe_49k"), [0, 0])
+        if r["doc_id"] % 50:
+            docs, tokens = docs + 1, tokens + len(tokenizer.encode(r["text"] or "", add_special_tokens=False).ids)
+        want[r["source"], r["lang"], "word_bpe_49k"] = [docs, tokens]
+    got = {(r["source"], r["lang"], r["tokenizer"]): [r["docs"], r["tokens"]] for r in op8_vocabulary_counts(spark, small).collect()}
+    assert got == want

@@ -29,7 +29,8 @@ from corpuslens.sources.tables import materialize
 
 CAPACITY = 2048
 PART_ROWS = 50_000
-ROUNDS = 4
+#: Exchange ends after so many rounds in a row that saved no sequence.
+PATIENCE = 2
 #: Bytes of words and ids that a worker remembers, with what Python needs to hold an entry. Only time depends on it.
 CACHE_BYTES, ENTRY_BYTES = 128 << 20, 110
 
@@ -139,7 +140,11 @@ def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
     * u_k: x counts as x if (k + 1) x is a whole number of bins, else as floor((k + 1) x) / k.
     The identity is f_0. Sums stay whole numbers: no rounding can lift a bound.
     """
-    sizes, counts = np.unique(lengths.astype("int64"), return_counts=True)
+    return histogram_bound(*np.unique(lengths.astype("int64"), return_counts=True), capacity)
+
+
+def histogram_bound(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> int:
+    """``lower_bound`` of distinct sizes and how often each occurs."""
     if not len(sizes):
         return 0
     best = -(-int((sizes * counts).sum()) // capacity)
@@ -207,35 +212,49 @@ def pack_part(number: int, capacity: int):
     return run
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, part_rows: int = PART_ROWS, rounds: int = ROUNDS) -> DataFrame:
+def length_bound(pieces: DataFrame, capacity: int) -> int:
+    """Least number of sequences for all pieces, from the histogram of their lengths (at most ``capacity`` numbers)."""
+    counts = pieces.groupBy("length").count().collect()
+    return histogram_bound(*(np.array([r[c] for r in counts], "int64") for c in ("length", "count")), capacity)
+
+
+def pack(pieces: DataFrame, capacity: int = CAPACITY, part_rows: int = PART_ROWS) -> DataFrame:
     """Pieces with sequence_id and offset, and the count and bound of the part that packed them.
 
-    A sequence is numbered by the row_no of one of its pieces. Pieces as long as a sequence stand alone. An
-    empty input gives an empty result.
+    A sequence is numbered by the row_no of one of its pieces. Pieces as long as a sequence stand alone. Rounds of
+    exchange end when the bound over all pieces is met, when one part holds all that is open, or when ``PATIENCE``
+    rounds in a row saved nothing. An empty input gives an empty result.
     """
     pieces = materialize(pieces, "pieces")
     whole = F.col("length") == capacity
     alone = pieces.where(whole).select("*", F.col("row_no").alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.col("length").alias("fill"), F.lit(-1).cast("long").alias("part"), F.lit(0).alias("round"), F.lit(1).cast("long").alias("part_bins"), F.lit(1).cast("long").alias("part_bound"), F.lit(False).alias("release"))
     todo = pieces.where(~whole).withColumns({"sequence_id": F.col("row_no"), "offset": F.lit(0).cast("long")})
-    done, count, parts_before = alone, todo.count(), None
-    for number in range(rounds):
-        parts = max(1, -(-count // part_rows))
-        if not count or number and parts_before == 1:
-            break
-        parts_before = parts
+    bound, count = length_bound(pieces.where(~whole), capacity), todo.count()
+    done, settled, least, idle, number = alone, 0, None, 0, 0
+    while count:
+        parts = -(-count // part_rows)
         # released bins stay whole: they are dealt by their sequence; the round stirs the hash
         dealt = todo.withColumn("part", F.pmod(F.xxhash64("sequence_id", F.lit(number)), F.lit(parts)))
-        packed = dealt.groupBy("part").applyInArrow(pack_part(number, capacity), PACKED)
-        packed = materialize(packed, "packed")
-        if number == rounds - 1 or parts == 1:
+        packed = materialize(dealt.groupBy("part").applyInArrow(pack_part(number, capacity), PACKED), "packed")
+        # every sequence has one piece at offset 0
+        first, free = F.col("offset") == 0, F.col("release")
+        state = packed.agg(F.count_if(first).alias("bins"), F.count_if(first & free).alias("open"), F.count_if(free).alias("rows")).first()
+        total = settled + state["bins"]
+        idle = idle + 1 if least is not None and total >= least else 0
+        if parts == 1 or total <= bound or idle == PATIENCE:
             return done.unionByName(packed)
-        done = done.unionByName(packed.where("NOT release"))
+        done, least = done.unionByName(packed.where("NOT release")), total
         todo = packed.where("release").select("row_no", "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
-        count = todo.count()
+        settled, count, number = settled + state["bins"] - state["open"], state["rows"], number + 1
     return done
 
 
 def packed_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
+    """One row per piece of each document: doc_id, piece, start, length, ids_crc32, sequence_id, offset and the round that packed it.
+
+    Null and empty texts are the end id alone; null ids stay; repeated rows are packed each time. An empty table
+    gives an empty result. Other columns are not read.
+    """
     packed = pack(token_pieces(docs, tokenizer, capacity), capacity)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "round", "part_bins", "part_bound")
 

@@ -69,3 +69,16 @@ def test_edges(spark, odd_docs, no_docs):
     assert {r["doc_id"] for r in rows} == {None, 1, 2, 3, 4, 5, 6, 7, 8}
     assert sum(r["doc_id"] == 2 for r in rows) == 2 and [r["length"] for r in rows if r["doc_id"] in (3, 4)] == [1, 1]
     assert packing.packed_documents(no_docs, tokenizer_path()).count() == 0
+
+
+def test_exchange_goes_on_until_it_saves_nothing(spark):
+    generator = random.Random(8)
+    lengths = [generator.randint(1, 70) for _ in range(900)]
+    pieces = spark.createDataFrame([(n, n, 0, 0, size, 7) for n, size in enumerate(lengths)], "row_no long, doc_id long, piece int, start long, length long, ids_crc32 long")
+    assert packing.length_bound(pieces, 100) == packing.lower_bound(np.array(lengths), 100)
+    rows = packing.pack(pieces, 100, part_rows=30).collect()
+    assert sorted(r["row_no"] for r in rows) == list(range(900))
+    one_part = len(np.unique(packing.best_fit_decreasing(np.array(lengths), 100)[0]))
+    assert layout(packing.pack(pieces, 100).collect(), 100) == one_part
+    first_round = sum({r["part"]: r["part_bins"] for r in packing.pack(pieces, 100, part_rows=30).collect() if r["round"] == 0}.values())
+    assert one_part <= layout(rows, 100) <= min(first_round, one_part * 1.05 + 1) and max(r["round"] for r in rows) >= 1

@@ -11,6 +11,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -47,6 +48,8 @@ HINTS = frozenset(
     "modal overlay dialog newsletter subscribe subscription signup login register search comment comments disqus replies reply respond responses share sharing social "
     "related recommended recommendations pagination pager widget widgets skip copyright legal disclaimer paywall toc hidden offscreen tagcloud teaser".split()
 )
+#: Of these, words that also name subjects of an article: a box so named stays if most of the page's plain text is in it.
+AMBIGUOUS = frozenset("legal copyright disclaimer search social notice notices alert register response share sharing skip banner overlay hidden teaser".split())
 #: The same for article elements, whose other names say what stands beside them.
 ARTICLE_HINTS = frozenset("ad ads advert comment comments reply promo related teaser sponsored".split())
 PARTS = re.compile(r"[a-z]+")
@@ -54,6 +57,8 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 #: A subtree outside the article's needs this part of the largest density sum to count as content.
 SIDE_SHARE = 0.3
+#: A box of the article has a smaller part of its characters in links.
+LINK_SHARE = 0.3
 #: Lists and boxes with this part of their characters in links are menus.
 MENU_SHARE = 0.6
 
@@ -61,7 +66,7 @@ MENU_SHARE = 0.6
 class Node:
     __slots__ = ("tag", "hint", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total", "core")
 
-    def __init__(self, tag: str, hint: bool, parent: Node | None):
+    def __init__(self, tag: str, hint: str, parent: Node | None):
         self.tag, self.hint, self.parent = tag, hint, parent
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
@@ -69,46 +74,101 @@ class Node:
         self.core = False  # holds an article or its heading: then no class name makes it something else
 
 
-def hinted(tag: str, attrs: str) -> bool:
+def hinted(tag: str, attrs: str) -> str:
+    """Whether a start tag names its element as something else than the article: "no", "maybe" or "yes"."""
     if not attrs or "=" not in attrs and "hidden" not in attrs.lower():
-        return False
+        return "no"
+    hint = "no"
     for match in NAMED.finditer(attrs):
         name, value = match[1].lower(), (match[2] or "").strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return "yes"
         if name == "style":
             if "display:none" in value.replace(" ", "").lower():
-                return True
-        elif tag not in ("html", "body", "main") and not (ARTICLE_HINTS if tag == "article" else HINTS).isdisjoint(PARTS.findall(CAMEL.sub("-", value).lower())):
-            return True
-    return False
+                return "yes"
+        elif tag not in ("html", "body", "main"):
+            named = (ARTICLE_HINTS if tag == "article" else HINTS).intersection(PARTS.findall(CAMEL.sub("-", value).lower()))
+            if named - AMBIGUOUS:
+                return "yes"
+            if named:
+                hint = "maybe"
+    return hint
+
+
+class Open:
+    """The open elements, with the places of each tag among them: a look costs no walk through all of them."""
+
+    def __init__(self, root: Node):
+        self.path: list[Node] = []
+        self.places: dict[str, list[int]] = {}
+        self.fences: list[int] = []
+        self.push(root)
+
+    @property
+    def here(self) -> Node:
+        return self.path[-1]
+
+    def push(self, node: Node) -> None:
+        at = len(self.path)
+        self.path.append(node)
+        self.places.setdefault(node.tag, []).append(at)
+        if node.tag in FENCE:
+            self.fences.append(at)
+
+    def cut(self, size: int) -> None:
+        """Close all but the first ``size`` elements."""
+        while len(self.path) > size:
+            tag = self.path.pop().tag
+            self.places[tag].pop()
+            if tag in FENCE:
+                self.fences.pop()
+
+    def start(self, name: str) -> None:
+        """Close what a start tag closes: the outermost such element inside the innermost box."""
+        fence, found = self.fences[-1], len(self.path)
+        for tag in CLOSES.get(name) or (("p",) if name in BLOCKS else ()):
+            places = self.places.get(tag, ())
+            first = bisect_right(places, fence)
+            if first < len(places):
+                found = min(found, places[first])
+        self.cut(found)
+
+    def end(self, name: str) -> None:
+        """Close an element by its end tag; a stray end tag does not close the box around it."""
+        places = self.places.get(name)
+        if places and places[-1] and (name in FENCE or places[-1] > self.fences[-1]):
+            self.cut(places[-1])
 
 
 def parse(page: str) -> Node:
-    """A tree of the page's elements; text between tags becomes strings with references decoded."""
-    root = Node("html", False, None)
-    here, at, size = root, 0, len(page)
+    """A tree of the page's elements; text between tags becomes strings with references decoded.
+
+    A further ``html`` start tag is passed over.
+    """
+    root = Node("html", "no", None)
+    stack, at, size = Open(root), 0, len(page)
     while at < size:
         match = TAG.search(page, at)
         if match is None:
-            add(here, page[at:])
+            add(stack.here, page[at:])
             break
         if match.start() > at:
-            add(here, page[at : match.start()])
+            add(stack.here, page[at : match.start()])
         at = match.end()
         name = match["name"]
         if name is None:
             continue
         name = name.lower()
         if match["end"]:
-            here = close(here, name)
+            stack.end(name)
             continue
-        if name in ("html", "body") and name != "body":
+        if name == "html":
             continue
-        here = opened(here, name)
+        stack.start(name)
+        here = stack.here
         node = Node(name, hinted(name, match["attrs"] or ""), here)
         here.children.append(node)
-        if name in ("article", "main", "h1") and not node.hint:
+        if name in ("article", "main", "h1") and node.hint == "no":
             above = here
             while above is not None and not above.core:
                 above.core, above = True, above.parent
@@ -116,7 +176,7 @@ def parse(page: str) -> Node:
             stop = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = stop.end() if stop else size
         elif name not in VOID:
-            here = node
+            stack.push(node)
     return root
 
 
@@ -124,28 +184,29 @@ def add(node: Node, text: str) -> None:
     node.children.append(entities.unescape(text) if "&" in text else text)
 
 
-def opened(here: Node, name: str) -> Node:
-    """Where an element starts, after what its start tag closes."""
-    closes = CLOSES.get(name) or ({"p"} if name in BLOCKS else None)
-    node, found = here, None
-    while closes and node is not None and (node.tag not in FENCE or node.tag in closes):
-        if node.tag in closes:
-            found = node
-        node = node.parent
-    return found.parent if found is not None else here
-
-
-def close(here: Node, name: str) -> Node:
-    node = here
-    while node is not None and node.tag != name:
-        if node.tag in FENCE and name not in FENCE:
-            return here  # a stray end tag does not close the box around it
-        node = node.parent
-    return node.parent if node is not None and node.parent is not None else here
+def dropped(node: Node, inside: bool) -> bool:
+    return node.tag in DROPPED or node.hint == "yes" and not node.core or node.tag == "header" and not inside
 
 
-def dropped(node: Node, inside: bool) -> bool:
-    return node.tag in DROPPED or node.hint and not node.core or node.tag == "header" and not inside
+def settle(root: Node) -> None:
+    """Decide boxes that may be something else: one stays if it holds more plain text than all the rest of the page."""
+    doubtful = [n for n in nodes(root) if n.hint == "maybe" and not n.core]
+    if not doubtful:
+        return
+    plain: dict[int, int] = {}
+    order: list[Node] = []
+    stack = [(root, False, False)]
+    while stack:
+        node, link, inside = stack.pop()
+        order.append(node)
+        link, inside = link or node.tag == "a", inside or node.tag in ("article", "main")
+        plain[id(node)] = 0 if link else sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
+        stack.extend((c, link, inside) for c in node.children if not isinstance(c, str) and not dropped(c, inside))
+    for node in reversed(order):
+        if node.parent is not None:
+            plain[id(node.parent)] += plain[id(node)]
+    for node in doubtful:
+        node.hint = "no" if 2 * plain.get(id(node), 0) > plain[id(root)] else "yes"
 
 
 def measured(node: Node, link: bool, inside: bool) -> None:
@@ -202,6 +263,7 @@ def nodes(root: Node) -> Iterator[Node]:
 def content(page: str) -> list[str]:
     """Blocks of the page's main text, in order."""
     root = parse(page)
+    settle(root)
     measured(root, False, False)
     if not root.chars:
         return []
@@ -220,24 +282,25 @@ def content(page: str) -> list[str]:
     if top is None:
         top = best
         for n in path[1:]:
-            if n is body or n.link_chars >= 0.3 * n.chars or n.density < threshold:
+            if n is body or n.link_chars >= LINK_SHARE * n.chars or n.density < threshold:
                 break
             top = n
-    chosen = {id(top)}
-    for n in nodes(body):
-        if id(n) not in chosen and n.density >= threshold and n.total >= SIDE_SHARE * best.total and n not in path and not under(n, chosen) and n.tag in FENCE:
-            chosen.add(id(n))
+    chosen, above = {id(top)}, {id(n) for n in path}
+    # without a box of its own the article may go on in the boxes beside the densest one
+    loose = top.parent is body and top.tag not in ("article", "main")
+    stack: list[tuple[Node, bool]] = [(body, False)]
+    while stack:
+        n, inside = stack.pop()
+        inside = inside or id(n) in chosen
+        if not inside and id(n) not in above and n.tag in FENCE:
+            dense = n.density >= threshold and n.total >= SIDE_SHARE * best.total
+            if dense or loose and n.parent is body and n.link_chars < LINK_SHARE * n.chars and any(c.tag == "p" for c in nodes(n)):
+                chosen.add(id(n))
+                inside = True
+        stack.extend((c, inside) for c in reversed(n.children) if not isinstance(c, str))
     return blocks(body, chosen)
 
 
-def under(node: Node | None, chosen: set[int]) -> bool:
-    while node is not None:
-        if id(node) in chosen:
-            return True
-        node = node.parent
-    return False
-
-
 def blocks(body: Node, chosen: set[int]) -> list[str]:
     out: list[str] = []
     parts: list[str] = []
@@ -273,7 +336,9 @@ def blocks(body: Node, chosen: set[int]) -> list[str]:
 def extract(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """The ``keep`` columns, ``text`` and ``n_chars`` (its code points): one row per input row.
 
-    Null and empty pages, and pages without text outside the cut parts, give empty text. Null keys stay.
+    Null and empty pages, and pages without text outside the cut parts, give empty text. Null keys stay; repeated
+    rows give repeated results; an empty table gives an empty result. Columns other than ``html`` and ``keep`` are
+    not read, whatever their names.
     """
     rows = pages.select(*keep, pages[html].alias("__html"))
     schema = T.StructType([rows.schema[c] for c in keep] + [T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])

@@ -60,3 +60,49 @@ def test_one_row_per_page(spark):
     assert out.columns == ["page_id", "url", "text", "n_chars"]
     assert got == [(0, "", 0), (1, "\n\n".join(WANT), len("\n\n".join(WANT))), (1, "\n\n".join(WANT), len("\n\n".join(WANT))), (2, "", 0), (3, "é漢", 2)]
     assert html.extract(pages.limit(0)).count() == 0
+
+
+LONG = "<p>" + "A sentence of plain text that goes on for a while, as articles do. " * 6 + "</p>"
+
+
+def test_ambiguous_names_do_not_delete_the_article():
+    for attrs in ("class='legal'", "id='search-results'", "class='social-history'", "class='copyright-case'"):
+        for tag in ("div", "section"):
+            found = html.content(page(f"<{tag} {attrs}><h2>Top</h2>{LONG}{LONG}</{tag}><div>short</div>"))
+            assert found[0] == "Top" and len(found) == 3, (tag, attrs)
+    kept = html.content(page(f"<div><h2>Top</h2>{LONG}{LONG}</div><div class='legal'><p>All rights reserved by us.</p></div>"))
+    assert len(kept) == 3
+    assert html.content(page(f"<div class='comments'>{LONG}</div>")) == []
+
+
+def test_an_article_in_boxes_beside_each_other():
+    text = lambda n: "<p>" + "x" * 300 + f"{n}</p>"
+    body = f"<div>{NAV}</div><div>{text(1)}</div><div>{''.join(text(n) for n in range(2, 7))}</div><div>{text(7)}</div><div>no paragraph</div>"
+    assert [b[-1] for b in html.content(page(body))] == list("1234567")
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+
+    count = 1_000_000
+    for text in (
+        "<b>" * (count // 6) + "<p>" * (count // 6), "<b>" * (count // 7) + "</i>" * (count // 7), "<div>" * (count // 5), "<p><b>" * (count // 6),
+        "<ul><li>x" * (count // 9), "<a b=\"" * (count // 6), "<" * count, "&" * count, "<div class='legal'>x" * (count // 20), "<!--" * (count // 4),
+    ):
+        started = time.process_time()
+        html.content(text)
+        assert time.process_time() - started < 10, text[:30]
+
+
+def test_density_decides_without_named_boxes(monkeypatch):
+    teasers = "<div>" + "".join(f"<div><p>Seen in the town today <a href='/{n}'>story number {n} to click on</a></p></div>" for n in range(40)) + "</div>"
+    body = f"{teasers}<div><h2>Top</h2>{LONG}{LONG}</div>"
+    found = html.content(page(body))
+    assert found[0] == "Top" and len(found) == 3
+    monkeypatch.setattr(html, "composite", lambda node, share: float(node.chars))
+    assert html.content(page(body)) != found
+
+
+def test_clashing_columns(spark):
+    pages = spark.createDataFrame([(1, "u", f"<article>{LONG}</article>", 7, "t")], "page_id long, url string, html string, n_chars long, text string")
+    assert html.extract(pages).columns == ["page_id", "url", "text", "n_chars"] and html.extract(pages).first()["n_chars"] > 100

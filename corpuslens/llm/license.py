@@ -57,8 +57,12 @@ def literal(values: list[str]) -> Column:
 
 
 def prepared(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Key, lower-cased text and its words. Lower-casing letters beyond A-Z changes no word's borders."""
-    lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
+    """Key, lower-cased text and its words.
+
+    Lower-casing letters beyond A-Z changes no word's borders, and makes an ASCII word of none once the Kelvin sign,
+    whose small letter is k, is another letter.
+    """
+    lowered = F.lower(F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("\u212a"), F.lit("\u0138")))
     base = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col(key).alias("doc_id"), lowered.alias("lowered"))
     return base.withColumn("words", words(F.col("lowered")))
 
@@ -134,8 +138,9 @@ def scan(
     scanned = rows.select(
         "row_no", "doc_id", F.size("words").cast("long").alias("n_words"), starts.alias("starts"), F.array_compact(named).alias("named"), lines.alias("lines"),
     )
-    # every row keeps its first line slot, so that the rows without candidates stay
-    blocks = scanned.withColumn("line", F.explode_outer("lines")).withColumn("tokens", F.array_distinct(words(F.coalesce("line", F.lit("")))))
+    # every row keeps its first line slot, so that the rows without candidates stay; it alone takes the starts along
+    blocks = scanned.select("row_no", "doc_id", "n_words", "starts", "named", F.posexplode_outer("lines").alias("slot", "line"))
+    blocks = blocks.withColumn("starts", F.when(F.coalesce("slot", F.lit(0)) == 0, F.col("starts"))).withColumn("tokens", F.array_distinct(words(F.coalesce("line", F.lit("")))))
     ordered = F.array_intersect(literal(order), F.col("tokens"))  # keeps the order of the first: rarest first
     blocks = blocks.withColumn("ordered", F.when(F.size("tokens") > 0, ordered)).withColumn("word", F.explode_outer(F.array_intersect(literal(first_words), F.col("tokens"))))
     joined = blocks.join(F.broadcast(docs.sparkSession.createDataFrame(inverted, INVERTED)), "word", "left")

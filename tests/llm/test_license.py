@@ -94,3 +94,11 @@ def test_windows_match_brute_force(spark, odd_docs, no_docs):
     assert license.scan_windows(no_docs).count() == 0
     plan = license.scan_windows(odd_docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_only_ascii_letters_are_lowered(spark):
+    words = ("wor\u212a " + license.TEMPLATES[0][1], "CC BY", "cc b\u0130", "all rights reserved".replace("r", "R"), "wor\u212a")
+    docs = [(n, w) for n, w in enumerate(words)] + [(9 + n, notice.replace("k", "\u212a")) for n, (_, notice) in enumerate(license.TEMPLATES)]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r[0]: tuple(r[1:]) for r in license.scan(table).collect()} == {n: brute(t) for n, t in docs}
+    assert {r[0]: tuple(r[1:]) for r in license.scan_windows(table).collect()} == {n: windowed(t) for n, t in docs}

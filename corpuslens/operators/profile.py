@@ -93,6 +93,72 @@ def describe(
     )
 
 
+#: Size of a quantile sketch; its rank error is about 2.3 / k^0.9 in 99 of 100 sketches.
+SKETCH_K = 1024
+
+
+def sketch_lengths(
+    df: DataFrame, measures: tuple[str, ...] = MEASURES, by: tuple[str, ...] = (), k: int = SKETCH_K
+) -> DataFrame:
+    """One mergeable quantile sketch (KLL) per group and measure: a few kilobytes whatever the number of values.
+
+    ``describe`` counts every distinct value and is exact; this is for measures with very many of them, and for tables
+    that grow: sketches of parts can be stored and merged later. Nulls are not counted.
+    """
+    lines = [
+        F.struct(F.lit(m).alias("measure"), F.col(m).cast("bigint").alias("value"))
+        for m in measures
+    ]
+    values = df.select(*by, F.inline(F.array(*lines)))
+    return values.groupBy(*by, "measure").agg(
+        F.count("value").alias("count"), F.kll_sketch_agg_bigint("value", F.lit(k)).alias("sketch")
+    )
+
+
+def merge_sketches(sketches: DataFrame, by: tuple[str, ...] = (), k: int = SKETCH_K) -> DataFrame:
+    """Sketches of parts (days, splits, batches) as one per group and measure."""
+    return sketches.groupBy(*by, "measure").agg(
+        F.sum("count").alias("count"), F.kll_merge_agg_bigint("sketch", F.lit(k)).alias("sketch")
+    )
+
+
+def sketch_quantiles(
+    sketches: DataFrame, probabilities: tuple[float, ...] = (0.25, 0.5, 0.75, 0.99), by: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row per sketch and probability: count, probability, value (null where nothing was counted)."""
+    # the function takes literal ranks, one call each
+    cells = [
+        F.struct(F.lit(p).alias("probability"), F.kll_sketch_get_quantile_bigint("sketch", F.lit(p)).alias("value"))
+        for p in probabilities
+    ]
+    some = sketches.where("count > 0").select(*by, "measure", "count", F.inline(F.array(*cells)))
+    none = sketches.where("count = 0").select(
+        *by, "measure", "count", F.explode(F.array(*map(F.lit, probabilities))).alias("probability"), F.lit(None).cast("bigint").alias("value")
+    )
+    return some.unionByName(none)
+
+
+def rank_errors(
+    df: DataFrame, quantiles: DataFrame, measures: tuple[str, ...] = MEASURES, by: tuple[str, ...] = ()
+) -> DataFrame:
+    """``quantiles`` with the distance of each value's exact ranks from the probability, as a share of the rows.
+
+    Values are counted first; ``quantiles`` (a few rows for each group) is broadcast against the counts.
+    """
+    lines = [
+        F.struct(F.lit(m).alias("measure"), F.col(m).cast("bigint").alias("x")) for m in measures
+    ]
+    counted = df.select(*by, F.inline(F.array(*lines))).where("x IS NOT NULL").groupBy(*by, "measure", "x").agg(F.count("*").alias("n"))
+    met = counted.join(F.broadcast(quantiles), [*by, "measure"])
+    below, upto = F.sum(F.when(F.col("x") < F.col("value"), F.col("n")).otherwise(0)), F.sum(F.when(F.col("x") <= F.col("value"), F.col("n")).otherwise(0))
+    ranks = met.groupBy(*by, "measure", "count", "probability", "value").agg(below.alias("below"), upto.alias("upto"))
+    p, n = F.col("probability"), F.col("count")
+    return ranks.select(
+        *by, "measure", "count", "probability", "value",
+        F.greatest(F.col("below") / n - p, p - F.col("upto") / n, F.lit(0.0)).alias("rank_error"),
+    )
+
+
 def top_ngrams(
     df: DataFrame,
     n: int,

@@ -8,7 +8,15 @@ from corpuslens.operators import contract, dedup
 from corpuslens.plans.queries import fixtures as fx
 from corpuslens.plans.queries.registry import query
 from corpuslens.sources.csv import label_and_union
-from corpuslens.sources.tables import read_processed, shared_root, write_processed
+from corpuslens.sources.tables import (
+    read_csv_report,
+    read_json_report,
+    read_processed,
+    shared_root,
+    write_csv_report,
+    write_json_report,
+    write_processed,
+)
 from corpuslens.operators.split import split_groups
 
 _GAPS = """gaps AS (
@@ -173,6 +181,32 @@ def processed_roundtrip(spark, sf_dir):
     return read_processed(spark, path, "test").select("row_id", "label", "split", "document_hash")
 
 
+@query(
+    "report_roundtrip",
+    f"""WITH {fx.COLLECTION}, gaps AS (
+          SELECT row_id, label, CASE WHEN row_id % 11 = 0 THEN NULL WHEN row_id % 7 = 0 THEN 'say "no", twice' || chr(10) || row_id ELSE title END AS title FROM collection),
+        counts AS (SELECT label, count(*) AS rows, count(title) AS titles FROM gaps GROUP BY 1)
+        SELECT 'csv' AS sink, row_id AS key, title AS text FROM gaps
+        UNION ALL SELECT 'json', label, rows || '/' || titles FROM counts""",
+)
+def report_roundtrip(spark, sf_dir):
+    """A CSV table with gaps, quotes and line ends, and a JSON report on it, written and read back."""
+    import uuid
+
+    root = f"{shared_root(spark)}/corpuslens/reports-{uuid.uuid4().hex}"
+    odd = F.concat(F.lit('say "no", twice\n'), F.col("row_id").cast("string"))
+    title = F.when(F.col("row_id") % 11 == 0, F.lit(None)).when(F.col("row_id") % 7 == 0, odd).otherwise(F.col("title"))
+    rows = fx.collection(spark, sf_dir).select("row_id", "label", title.alias("title"))
+    counts = rows.groupBy("label").agg(F.count("*").alias("rows"), F.count("title").alias("titles"))
+    write_csv_report(rows.select("row_id", "title"), f"{root}/titles")
+    write_json_report(counts, f"{root}/counts")
+    csv = read_csv_report(spark, f"{root}/titles", "row_id bigint, title string")
+    json = read_json_report(spark, f"{root}/counts", "label int, rows bigint, titles bigint")
+    table = csv.select(F.lit("csv").alias("sink"), F.col("row_id").alias("key"), F.col("title").alias("text"))
+    report = json.select(F.lit("json"), F.col("label").cast("bigint"), F.concat_ws("/", "rows", "titles"))
+    return table.union(report)
+
+
 _CELLS = ("doc_id", "lang", "n_chars", "source", "text")
 _ROW = " || chr(31) || ".join(f"coalesce(CAST({c} AS VARCHAR), chr(0))" for c in _CELLS)
 

@@ -53,4 +53,15 @@ def write_json_report(df: DataFrame, path: str) -> None:
 
 
 def write_csv_report(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """White space around a value is part of it; without the two options Spark's writer would cut it."""
+    exact = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(**exact).csv(path)
+
+
+def read_json_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).json(path)
+
+
+def read_csv_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table that ``write_csv_report`` wrote; quoted fields may hold line ends. CSV has one blank: empty texts are null."""
+    return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path)

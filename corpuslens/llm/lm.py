@@ -6,9 +6,11 @@ counts for that purpose. The scores then use the counts of all training document
 
 Counting and looking up move sorted arrays of hashed n-grams instead of single rows:
 
-1. Documents belong to chunks: a file split and a hash. Each task counts the distinct n-grams of its chunks and sends
-   them, sorted, to buckets of the hash range. A frequent n-gram is one number per chunk.
-2. A bucket merges what all chunks sent, and answers each chunk with the corpus counts in the order sent.
+1. Each task cuts its documents into chunks by bytes and writes, once, the distinct n-grams of a chunk with their counts, cut into
+   ranges of the hash, and each document as places in them. A frequent n-gram is one number per chunk, texts are not read again.
+2. What chunks wrote for a range meets in groups of about ``2**FAN_BITS`` chunks. A group adds up its counts, cuts its range
+   further and hands on; the last level holds the corpus counts. They return by the same groups, in the order sent.
+   Every level passes at most ``2 * 2**FAN_BITS`` rows a chunk, so rows grow with the input times its few levels.
 3. Documents meet their chunk's answers and keep, packed, the count of each of their tokens and token pairs.
 4. The weights come from a histogram of the deleted fold; its size is bounded by the grid of its bins.
 
@@ -22,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +37,8 @@ FOLDS, HELD, DELETED = 7, 2, 10
 KEY_BITS = 56
 #: Text of a chunk, in bytes; a task's arrays take about 15 times as much.
 CHUNK_BYTES = 8 << 20
+#: A level cuts a hash range into this power of two, and puts together as many chunks.
+FAN_BITS = 6
 #: Context counts from 2^(BUCKETS - 2) on share the last bucket.
 BUCKETS = 24
 #: Bins per factor of two in the histogram of the deleted fold, and the smallest probability told apart.
@@ -43,8 +48,9 @@ STEPS = 200
 # not words: words hold no white space
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 
-SENT = "p long, kind int, bucket int, keys binary, n binary, h binary"
-ANSWER = "p long, kind int, bucket int, n binary, h binary, distinct long, total long"
+SENT = "p long, kind int, bucket long, keys binary, n binary, h binary"
+DOCUMENT = "doc_id long, held_out boolean, train boolean, deleted boolean, tokens long, words binary, pairs binary"
+ANSWER = "p long, kind int, bucket long, n binary, h binary, distinct long, total long"
 COUNTED = "doc_id long, held_out boolean, words binary, pairs binary, kept_words binary, kept_pairs binary"
 BINS = "bucket int, two int, one int, times long"
 
@@ -101,102 +107,164 @@ def totals(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
     return (keys[first], *(np.add.reduceat(c[order], first) for c in counts))
 
 
-def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Buckets are equal ranges, so sorted keys come in the order of buckets."""
-    return ((keys >> np.uint64(KEY_BITS - 32)) * np.uint64(buckets) >> np.uint64(32)).astype("int64")
+def ranged(p: int, kind: int, bits: int, keys: np.ndarray, n: np.ndarray, h: np.ndarray) -> list[tuple]:
+    """A row for each range of sorted keys; the highest ``bits`` of a key name its range."""
+    ranges = keys >> np.uint64(KEY_BITS - bits)
+    edges = [0, *(np.flatnonzero(ranges[1:] != ranges[:-1]) + 1).tolist(), len(keys)]
+    return [
+        (p, kind, int(ranges[a]), pack(np.diff(keys[a:b], prepend=np.uint64(0))), pack(n[a:b]), pack(h[a:b]))
+        for a, b in zip(edges, edges[1:]) if b > a
+    ]
 
 
-def counted_keys(texts: list[bytes], train: np.ndarray, deleted: np.ndarray) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
-    """Keys of words and of pairs with their counts in training texts and in deleted ones, which are part of them."""
+def table_of(rows: list[tuple], target: pa.Schema) -> pa.Table:
+    columns = zip(*rows) if rows else ([] for _ in target)
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, target)], schema=target)
+
+
+def chunk(p: int, texts: list[bytes], flags: dict[str, list], bits: int) -> tuple[list[tuple], list[tuple]]:
+    """The ranges of a chunk's words and pairs, and its documents as places among them."""
     seq = Sequences(texts)
-    n, h = np.repeat(train, seq.lengths).astype("int32"), np.repeat(deleted, seq.lengths).astype("int32")
-    size = len(seq.keys)
-    of_words = np.bincount(seq.words, n, size).astype("int32"), np.bincount(seq.words, h, size).astype("int32")
+    train, deleted = (np.repeat(np.array(flags[c], "int64"), seq.lengths) for c in ("train", "deleted"))
+    distinct, at_word = np.unique(seq.keys, return_inverse=True)
+    words = at_word[seq.words]
+    n, h = (np.bincount(words, c, len(distinct)).astype("int64") for c in (train, deleted))
     # as a context the start of a text counts once per text; it is asked for like a word but is none
-    of_words[0][-1], of_words[1][-1] = int(train.sum()), int(deleted.sum())
-    return totals(seq.keys, *of_words), totals(seq.pairs, n, h)
+    n[at_word[-1]], h[at_word[-1]] = sum(flags["train"]), sum(flags["deleted"])
+    sent = ranged(p, 0, bits, distinct, n, h)
+    distinct, pairs = np.unique(seq.pairs, return_inverse=True)
+    sent += ranged(p, 1, bits, distinct, *(np.bincount(pairs, c, len(distinct)).astype("int64") for c in (train, deleted)))
+    ends = np.cumsum(seq.lengths)
+    docs = []
+    for at, (a, b) in enumerate(zip((ends - seq.lengths).tolist(), ends.tolist())):
+        docs.append((*(flags[c][at] for c in ("doc_id", "held_out", "train", "deleted")), b - a, pack(words[a:b]), pack(pairs[a:b])))
+    return sent, docs
+
 
+def write(chunk_bytes: int, bits: int):
+    """Rows of two sorts: (p, kind, bucket, keys, n, h), and documents (p, doc_id ... pairs), whose kind is null."""
+    ranges, documents = arrow_schema(fields(SENT)), arrow_schema(fields(f"p long, {DOCUMENT}"))
+    target = arrow_schema(fields(f"{SENT}, {DOCUMENT}"))
+    names = ("doc_id", "held_out", "train", "deleted")
 
-def send(buckets: int):
-    target = arrow_schema(fields(SENT))
+    def whole(table: pa.Table) -> list[pa.RecordBatch]:
+        missing = [table.column(f.name) if f.name in table.schema.names else pa.nulls(table.num_rows, f.type) for f in target]
+        return pa.Table.from_arrays(missing, schema=target).to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[list, list]] = {}
-        for batch in slices(batches, "text"):
-            texts = [t or b"" for t in utf8(batch.column("text"))]
-            chunk = batch.column("p").to_numpy()
-            train, deleted = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("train", "deleted"))
-            for p in np.unique(chunk).tolist():
-                here = np.flatnonzero(chunk == p)
-                both = counted_keys([texts[i] for i in here], train[here], deleted[here])
-                for kind in (0, 1):
-                    held.setdefault(p, ([], []))[kind].append(both[kind])
-        for p in sorted(held):
-            rows = []
-            for kind in (0, 1):
-                parts = held[p][kind]
-                keys, n, h = totals(*(np.concatenate([part[c] for part in parts]) for c in range(3)))
-                parts.clear()
-                cuts = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
-                for bucket, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    if b > a:
-                        rows.append((p, kind, bucket, pack(np.diff(keys[a:b], prepend=np.uint64(0))), pack(n[a:b]), pack(h[a:b])))
-            del held[p]
+        # a chunk's name is stored with its rows, so it need not be the same in a repeated task
+        p = TaskContext.get().partitionId() << 32
+        texts, size, flags = [], 0, {c: [] for c in names}
+        for batch in slices(batches, "text", min(4 << 20, chunk_bytes)):
+            found = [t or b"" for t in utf8(batch.column("text"))]
+            texts += found
+            size += sum(map(len, found))
+            for c in names:
+                flags[c] += batch.column(c).to_pylist()
+            if size >= chunk_bytes:
+                sent, docs = chunk(p, texts, flags, bits)
+                texts, size, flags = [], 0, {c: [] for c in names}
+                release()
+                yield from whole(table_of(sent, ranges))
+                yield from whole(table_of([(p, *d) for d in docs], documents))
+                p += 1
+        if texts:
+            sent, docs = chunk(p, texts, flags, bits)
+            del texts, flags
             release()
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), target)], schema=target)
+            yield from whole(table_of(sent, ranges))
+            yield from whole(table_of([(p, *d) for d in docs], documents))
 
     return run
 
 
-def merge(group: pa.Table) -> pa.Table:
-    """The counts of a bucket over all chunks, given back to each chunk in the order it sent its keys.
+def keys_sent(group: pa.Table) -> list[np.ndarray]:
+    return [np.cumsum(unpack(k)) for k in group.column("keys").to_pylist()]
 
-    One more row without a chunk tells how many keys were seen in training, and how often (of words only).
-    """
-    target = arrow_schema(fields(ANSWER))
-    sent = [np.cumsum(unpack(k)) for k in group.column("keys").to_pylist()]
-    keys, n, h = totals(np.concatenate(sent), *(np.concatenate([unpack(x) for x in group.column(c).to_pylist()]).astype("int64") for c in ("n", "h")))
+
+def added(group: pa.Table, sent: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    return totals(np.concatenate(sent), *(np.concatenate([unpack(x) for x in group.column(c).to_pylist()]).astype("int64") for c in ("n", "h")))
+
+
+def replies(group: pa.Table, sent: list[np.ndarray], keys: np.ndarray, n: np.ndarray, h: np.ndarray) -> list[tuple]:
+    """The counts of each sender's keys, in the order sent."""
     kind, bucket = group.column("kind")[0].as_py(), group.column("bucket")[0].as_py()
     rows = []
     for p, own in zip(group.column("p").to_pylist(), sent):
         at = np.searchsorted(keys, own)
         rows.append((p, kind, bucket, pack(n[at]), pack(h[at]), 0, 0))
-    words = kind == 0
-    word = keys != shorten(np.array([START]))[0] if words else np.zeros(len(keys), bool)
+    return rows
+
+
+def merge(group: pa.Table) -> pa.Table:
+    """The counts of a range over the whole corpus, given back to each sender in the order it sent its keys.
+
+    One more row without a sender tells how many keys were seen in training, and how often (of words only).
+    """
+    sent = keys_sent(group)
+    keys, n, h = added(group, sent)
+    kind, bucket = group.column("kind")[0].as_py(), group.column("bucket")[0].as_py()
+    rows = replies(group, sent, keys, n, h)
+    word = keys != shorten(np.array([START]))[0] if kind == 0 else np.zeros(len(keys), bool)
     rows.append((None, kind, bucket, None, None, int((n[word] > 0).sum()), int(n[word].sum())))
     del sent, keys, n, h
     release()
-    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), target)], schema=target)
+    return table_of(rows, arrow_schema(fields(ANSWER)))
+
+
+def handed_on(bits: int):
+    """The counts of a range over a group of senders, cut into ranges of ``bits``; the group is their sender."""
+
+    def run(group: pa.Table) -> pa.Table:
+        rows = ranged(group.column("to")[0].as_py(), group.column("kind")[0].as_py(), bits, *added(group, keys_sent(group)))
+        release()
+        return table_of(rows, arrow_schema(fields(SENT)))
+
+    return run
+
+
+def returned(group: pa.Table, answers: pa.Table) -> pa.Table:
+    """The answers to a group, given back to its senders."""
+    sent = keys_sent(group)
+    keys = np.unique(np.concatenate(sent))
+    answers = answers.sort_by("bucket")
+    n, h = (np.concatenate([unpack(x) for x in answers.column(c).to_pylist()]).astype("int64") for c in ("n", "h"))
+    rows = replies(group, sent, keys, n, h)
+    del sent, keys, n, h
+    release()
+    return table_of(rows, arrow_schema(fields(ANSWER)))
+
+
+def answered(sent: DataFrame, senders: int, bits: int, fan_bits: int) -> tuple[DataFrame, DataFrame]:
+    """The corpus counts of everything sent, and the totals of each range. ``senders``: how many sent to one range."""
+    groups = -(-senders // (1 << fan_bits))
+    if groups <= 1 or bits + fan_bits > KEY_BITS:
+        answers = materialize(sent.groupBy("kind", "bucket").applyInArrow(merge, fields(ANSWER)), "answers")
+        return answers.where("p IS NOT NULL"), answers.where("p IS NULL AND kind = 0")
+    member = F.pmod(F.xxhash64("p"), F.lit(groups).cast("long"))
+    named = sent.withColumn("to", (F.col("bucket") * groups + member) * 2 + F.col("kind"))
+    above = materialize(named.groupBy("to").applyInArrow(handed_on(bits + fan_bits), fields(SENT)), "ranges")
+    answers, seen = answered(above, groups, bits + fan_bits, fan_bits)
+    back = named.groupBy("to").cogroup(answers.groupBy("p")).applyInArrow(returned, fields(ANSWER))
+    return materialize(back, "answers"), seen
 
 
 def attach(docs: pa.Table, answers: pa.Table) -> pa.Table:
     """Each document of a chunk with the counts of its words and pairs; without its own fold if that is deleted."""
-    target = arrow_schema(fields(COUNTED))
-    if not docs.num_rows:
-        return target.empty_table()
-    texts = [t or b"" for t in utf8(docs.column("text").combine_chunks())]
-    seq = Sequences(texts)
     answers = answers.sort_by([("kind", "ascending"), ("bucket", "ascending")])
     kinds = answers.column("kind").to_numpy()
     got = {c: [unpack(x) for x in answers.column(c).to_pylist()] for c in ("n", "h")}
     whole = {(c, kind): np.concatenate([a for a, k in zip(got[c], kinds) if k == kind]).astype("int64") for c in ("n", "h") for kind in (0, 1)}
     del got, answers
-    distinct, at_word = np.unique(seq.keys, return_inverse=True)
-    pairs, at_pair = np.unique(seq.pairs, return_inverse=True)
-    if len(distinct) != len(whole["n", 0]) or len(pairs) != len(whole["n", 1]):
-        raise RuntimeError("a chunk's documents changed between counting and scoring")
-    words = {c: whole[c, 0][at_word][seq.words] for c in ("n", "h")}
-    twos = {c: whole[c, 1][at_pair] for c in ("n", "h")}
-    ends = np.cumsum(seq.lengths)
-    deleted = docs.column("deleted").to_pylist()
     rows = []
-    for n, (doc_id, held_out) in enumerate(zip(docs.column("doc_id").to_pylist(), docs.column("held_out").to_pylist())):
-        cut = slice(int(ends[n] - seq.lengths[n]), int(ends[n]))
-        kept = (pack(words["n"][cut] - words["h"][cut]), pack(twos["n"][cut] - twos["h"][cut])) if deleted[n] else (None, None)
-        rows.append((doc_id, held_out, pack(words["n"][cut]), pack(twos["n"][cut]), *kept))
-    del seq, texts, whole, words, twos, distinct, at_word, pairs, at_pair
+    for doc_id, held_out, deleted, words, pairs in zip(*(docs.column(c).to_pylist() for c in ("doc_id", "held_out", "deleted", "words", "pairs"))):
+        places = unpack(words).astype("int64"), unpack(pairs).astype("int64")
+        counts = [whole["n", kind][at] for kind, at in enumerate(places)]
+        kept = (pack(c - whole["h", kind][at]) for kind, (c, at) in enumerate(zip(counts, places))) if deleted else (None, None)
+        rows.append((doc_id, held_out, *map(pack, counts), *kept))
+    del whole
     release()
-    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), target)], schema=target)
+    return table_of(rows, arrow_schema(fields(COUNTED)))
 
 
 def contexts(words: np.ndarray, starts: int) -> np.ndarray:
@@ -293,47 +361,36 @@ def scorer(mixture: np.ndarray, total: int, distinct: int, starts: int):
     return run, schema
 
 
-def score(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def score(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, fan_bits: int = FAN_BITS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per input row.
 
     Null and empty texts are an end token alone. A null id counts as empty text in folds and stays null. An empty
     table gives an empty result; without training documents all counts are 0 and scores are uniform. Columns
-    other than doc_id and text are not read.
+    other than doc_id and text are not read. How the input is split into tasks does not change the result.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    place = (F.input_file_name(), F.input_file_block_start())
-    sizes = rows.select(*(c.alias(n) for c, n in zip(place, ("file", "block"))), F.octet_length("text").alias("size")).groupBy("file", "block").agg(F.sum("size").alias("size")).agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.min("file").alias("file")).first()
-    if not sizes["n"]:
-        return spark.createDataFrame([], "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    if not sizes["file"]:  # not from files: chunks have to be the same in both passes
-        return score(materialize(rows, "documents"), chunk_bytes)
-    buckets = max(1, -(-(sizes["size"] or 0) // chunk_bytes))
-    share = max(1, -(-buckets // sizes["n"]))
     held = crc_mod(F.col("doc_id"), FOLDS) == HELD
     deleted = F.pmod((F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) / FOLDS).cast("long"), F.lit(DELETED)) == 0
-    dealt = rows.select(
-        "doc_id", "text", held.alias("held_out"), (~held).alias("train"), (~held & deleted).alias("deleted"),
-        F.xxhash64(*place, F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(share))).alias("p"),
-    )
-    sent = dealt.select("text", "train", "deleted", "p").mapInArrow(send(buckets), fields(SENT))
-    answers = materialize(sent.groupBy("kind", "bucket").applyInArrow(merge, fields(ANSWER)), "answers")
-    seen = answers.where("p IS NULL AND kind = 0").agg(F.sum("distinct").alias("distinct"), F.sum("total").alias("total")).first()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select("doc_id", "text", held.alias("held_out"), (~held).alias("train"), (~held & deleted).alias("deleted"))
+    written = materialize(rows.mapInArrow(write(chunk_bytes, fan_bits), fields(f"{SENT}, {DOCUMENT}")), "chunks")
+    documents = written.where("kind IS NULL").select("p", *fields(DOCUMENT).names)
+    sums = documents.agg(
+        F.countDistinct("p").alias("chunks"), F.count_if("train").alias("docs"), F.count_if("deleted").alias("deleted"),
+        F.sum(F.when(F.col("deleted"), F.col("tokens"))).alias("gone"),
+    ).first()
+    if not sums["chunks"]:
+        return spark.createDataFrame([], "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    sent = written.where("kind IS NOT NULL").select(*fields(SENT).names)
+    answers, ranges = answered(sent, sums["chunks"], fan_bits, fan_bits)
+    seen = ranges.agg(F.sum("distinct").alias("distinct"), F.sum("total").alias("total")).first()
     distinct, total = seen["distinct"] or 0, seen["total"] or 0
-    met = dealt.select("doc_id", "text", "held_out", "deleted", "p").groupBy("p").cogroup(answers.where("p IS NOT NULL").groupBy("p"))
+    met = documents.select("p", "doc_id", "held_out", "deleted", "words", "pairs").groupBy("p").cogroup(answers.groupBy("p"))
     counted = materialize(met.applyInArrow(attach, fields(COUNTED)), "counted")
     # the deleted fold's own tokens are not part of what its estimates divide by
     fold = counted.where("kept_words IS NOT NULL")
-    sums = dealt.where("train").agg(F.count("*").alias("docs"), F.sum(F.col("deleted").cast("long")).alias("deleted")).first()
-    gone = fold.mapInArrow(lengths, fields("n long")).agg(F.sum("n")).first()[0] or 0
-    kept_total, kept_starts = total - gone, sums["docs"] - (sums["deleted"] or 0)
+    kept_total, kept_starts = total - (sums["gone"] or 0), sums["docs"] - sums["deleted"]
     bins = fold.mapInArrow(histogram(kept_total, kept_starts), fields(BINS)).groupBy("bucket", "two", "one").agg(F.sum("times").alias("times")).orderBy("bucket", "two", "one").toArrow()
     b, two, one, times = (bins.column(c).to_numpy() for c in ("bucket", "two", "one", "times"))
     mixture = weights(b, unbinned(two), unbinned(one), times.astype("float64"), distinct)
     run, schema = scorer(mixture, total, distinct, sums["docs"])
     return counted.mapInArrow(run, fields(schema))
-
-
-def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array([len(unpack(w)) for w in batch.column("kept_words").to_pylist()], pa.int64())], names=["n"])

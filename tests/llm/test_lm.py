@@ -78,10 +78,52 @@ def test_matches_brute_force(spark):
     want = brute(docs)
     same(lm.score(table).collect(), want)
     same(lm.score(table, chunk_bytes=4000).collect(), want)
+    # more chunks than two levels of ranges put together
+    same(lm.score(table, chunk_bytes=1000, fan_bits=2).collect(), want)
     held = [r for r in want if r[1]]
     assert sum(r[6] for r in held) > sum(r[5] for r in held)
 
 
+def test_split_planning_does_not_matter(spark, tmp_path):
+    docs = zipf(200)
+    spark.createDataFrame(docs, "doc_id long, text string").coalesce(1).write.option("parquet.block.size", 4096).parquet(str(tmp_path / "docs"))
+    want = brute(docs)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("2k", "64m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            same(lm.score(spark.read.parquet(str(tmp_path / "docs")), chunk_bytes=2000).collect(), want)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_rows_sent_grow_with_the_input():
+    def sent(count):
+        generator = random.Random(3)
+        flags = {"doc_id": [1], "held_out": [False], "train": [True], "deleted": [False]}
+        level = [lm.chunk(p, [" ".join(f"w{generator.randrange(9000)}" for _ in range(500)).encode()], flags, 4)[0] for p in range(count)]
+        rows, bits, target = 0, 4, lm.arrow_schema(lm.fields(lm.SENT))
+        level = [row for own in level for row in own]
+        senders = count
+        while True:
+            rows += len(level)
+            groups = -(-senders // 16)
+            if groups <= 1:
+                return rows
+            met = {}
+            for row in level:
+                met.setdefault((row[2] * groups + hash(row[0]) % groups) * 2 + row[1], []).append(row)
+            bits += 4
+            level = []
+            for to, own in met.items():
+                group = lm.table_of(own, target).append_column("to", lm.pa.array([to] * len(own)))
+                level += list(zip(*lm.handed_on(bits)(group).to_pydict().values()))
+            senders = groups
+
+    few, many = sent(32), sent(128)
+    assert many <= 1.2 * 4 * few
+
+
 def test_probabilities_add_up_to_one():
     mixture = lm.weights(np.array([0, 3, 3]), np.array([0.0, 0.5, 0.0]), np.array([0.1, 0.1, 0.0]), np.ones(3), 50)
     assert np.allclose(mixture.sum(axis=1), 1) and mixture[0, 0] == 0 and (mixture[:, 2] > 0).all()

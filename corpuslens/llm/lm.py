@@ -6,13 +6,14 @@ counts for that purpose. The scores then use the counts of all training document
 
 Counting and looking up move sorted arrays of hashed n-grams instead of single rows:
 
-1. Each task cuts its documents into chunks by bytes and writes, once, the distinct n-grams of a chunk with their counts, cut into
-   ranges of the hash, and each document as places in them. A frequent n-gram is one number per chunk, texts are not read again.
-2. What chunks wrote for a range meets in groups of about ``2**FAN_BITS`` chunks. A group adds up its counts, cuts its range
-   further and hands on; the last level holds the corpus counts. They return by the same groups, in the order sent.
+1. Documents are written once with the number of their chunk, a run of about ``CHUNK_BYTES`` within the task that reads them.
+2. Each task counts the distinct n-grams of its chunks and sends them, sorted and cut into ranges of the hash. A frequent
+   n-gram is one number per chunk. A chunk read by two tasks sends two rows for a range and gets one answer.
+3. What is sent for a range meets in groups of about ``2**FAN_BITS`` chunks. A group adds up its counts, cuts its range
+   further and hands on; the last level holds the corpus counts. They return by the same groups, in the order of the keys.
    Every level passes at most ``2 * 2**FAN_BITS`` rows a chunk, so rows grow with the input times its few levels.
-3. Documents meet their chunk's answers and keep, packed, the count of each of their tokens and token pairs.
-4. The weights come from a histogram of the deleted fold; its size is bounded by the grid of its bins.
+4. Documents meet their chunk's answers and keep, packed, the count of each of their tokens and token pairs.
+5. The weights come from a histogram of the deleted fold; its size is bounded by the grid of its bins.
 
 N-grams are told apart by 56 bits of a hash: two of 10^8 share a number with a chance of about 10^-9 each.
 """
@@ -23,10 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpuslens.llm.common import arrow_schema, crc_mod, fields, release, slices, space_words, utf8
 from corpuslens.llm.superminhash import MULTIPLIER, WordHashes, mix
@@ -37,8 +40,10 @@ FOLDS, HELD, DELETED = 7, 2, 10
 KEY_BITS = 56
 #: Text of a chunk, in bytes; a task's arrays take about 15 times as much.
 CHUNK_BYTES = 8 << 20
+#: What a document counts beyond its text, so that empty ones fill a chunk too.
+LEAST_BYTES = 16
 #: A level cuts a hash range into this power of two, and puts together as many chunks.
-FAN_BITS = 6
+FAN_BITS = 8
 #: Context counts from 2^(BUCKETS - 2) on share the last bucket.
 BUCKETS = 24
 #: Bins per factor of two in the histogram of the deleted fold, and the smallest probability told apart.
@@ -49,9 +54,8 @@ STEPS = 200
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 
 SENT = "p long, kind int, bucket long, keys binary, n binary, h binary"
-DOCUMENT = "doc_id long, held_out boolean, train boolean, deleted boolean, tokens long, words binary, pairs binary"
 ANSWER = "p long, kind int, bucket long, n binary, h binary, distinct long, total long"
-COUNTED = "doc_id long, held_out boolean, words binary, pairs binary, kept_words binary, kept_pairs binary"
+COUNTED = "doc_id long, held_out boolean, tokens long, words binary, pairs binary, kept_words binary, kept_pairs binary"
 BINS = "bucket int, two int, one int, times long"
 
 
@@ -122,58 +126,61 @@ def table_of(rows: list[tuple], target: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, target)], schema=target)
 
 
-def chunk(p: int, texts: list[bytes], flags: dict[str, list], bits: int) -> tuple[list[tuple], list[tuple]]:
-    """The ranges of a chunk's words and pairs, and its documents as places among them."""
+def counted_keys(texts: list[bytes], train: list[bool], deleted: list[bool]) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+    """Keys of words and of pairs with their counts in training texts and in deleted ones, which are part of them."""
     seq = Sequences(texts)
-    train, deleted = (np.repeat(np.array(flags[c], "int64"), seq.lengths) for c in ("train", "deleted"))
-    distinct, at_word = np.unique(seq.keys, return_inverse=True)
-    words = at_word[seq.words]
-    n, h = (np.bincount(words, c, len(distinct)).astype("int64") for c in (train, deleted))
+    n, h = np.repeat(train, seq.lengths).astype("int32"), np.repeat(deleted, seq.lengths).astype("int32")
+    size = len(seq.keys)
+    of_words = np.bincount(seq.words, n, size).astype("int32"), np.bincount(seq.words, h, size).astype("int32")
     # as a context the start of a text counts once per text; it is asked for like a word but is none
-    n[at_word[-1]], h[at_word[-1]] = sum(flags["train"]), sum(flags["deleted"])
-    sent = ranged(p, 0, bits, distinct, n, h)
-    distinct, pairs = np.unique(seq.pairs, return_inverse=True)
-    sent += ranged(p, 1, bits, distinct, *(np.bincount(pairs, c, len(distinct)).astype("int64") for c in (train, deleted)))
-    ends = np.cumsum(seq.lengths)
-    docs = []
-    for at, (a, b) in enumerate(zip((ends - seq.lengths).tolist(), ends.tolist())):
-        docs.append((*(flags[c][at] for c in ("doc_id", "held_out", "train", "deleted")), b - a, pack(words[a:b]), pack(pairs[a:b])))
-    return sent, docs
+    of_words[0][-1], of_words[1][-1] = sum(train), sum(deleted)
+    return totals(seq.keys, *of_words), totals(seq.pairs, n, h)
 
 
-def write(chunk_bytes: int, bits: int):
-    """Rows of two sorts: (p, kind, bucket, keys, n, h), and documents (p, doc_id ... pairs), whose kind is null."""
-    ranges, documents = arrow_schema(fields(SENT)), arrow_schema(fields(f"p long, {DOCUMENT}"))
-    target = arrow_schema(fields(f"{SENT}, {DOCUMENT}"))
-    names = ("doc_id", "held_out", "train", "deleted")
+def dealt(chunk_bytes: int, schema: T.StructType):
+    """Rows with the chunk ``p`` in which their text begins. The name is stored, so it need not be the same in a repeated task."""
+    target = arrow_schema(schema)
 
-    def whole(table: pa.Table) -> list[pa.RecordBatch]:
-        missing = [table.column(f.name) if f.name in table.schema.names else pa.nulls(table.num_rows, f.type) for f in target]
-        return pa.Table.from_arrays(missing, schema=target).to_batches()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, size = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            own = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype("int64") + LEAST_BYTES
+            ends = size + np.cumsum(own)
+            size = int(ends[-1]) if len(ends) else size
+            columns = [batch.column(f.name).cast(f.type) for f in list(target)[:-1]]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(first + (ends - own) // chunk_bytes)], schema=target)
+
+    return run
+
+
+def send(bits: int):
+    target = arrow_schema(fields(SENT))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # a chunk's name is stored with its rows, so it need not be the same in a repeated task
-        p = TaskContext.get().partitionId() << 32
-        texts, size, flags = [], 0, {c: [] for c in names}
-        for batch in slices(batches, "text", min(4 << 20, chunk_bytes)):
-            found = [t or b"" for t in utf8(batch.column("text"))]
-            texts += found
-            size += sum(map(len, found))
-            for c in names:
-                flags[c] += batch.column(c).to_pylist()
-            if size >= chunk_bytes:
-                sent, docs = chunk(p, texts, flags, bits)
-                texts, size, flags = [], 0, {c: [] for c in names}
-                release()
-                yield from whole(table_of(sent, ranges))
-                yield from whole(table_of([(p, *d) for d in docs], documents))
-                p += 1
-        if texts:
-            sent, docs = chunk(p, texts, flags, bits)
-            del texts, flags
+        current, held = None, ([], [])
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            rows = []
+            for kind, found in enumerate(held):
+                if found:
+                    rows += ranged(current, kind, bits, *totals(*(np.concatenate([part[c] for part in found]) for c in range(3))))
+                    found.clear()
             release()
-            yield from whole(table_of(sent, ranges))
-            yield from whole(table_of([(p, *d) for d in docs], documents))
+            if rows:
+                yield from table_of(rows, target).to_batches()
+
+        for batch in slices(batches, "text"):
+            texts = [t or b"" for t in utf8(batch.column("text"))]
+            names = batch.column("p").to_numpy()
+            train, deleted = (batch.column(c).to_pylist() for c in ("train", "deleted"))
+            edges = [0, *(np.flatnonzero(names[1:] != names[:-1]) + 1).tolist(), len(names)]
+            for a, b in zip(edges, edges[1:]):
+                if names[a] != current:
+                    yield from flushed()
+                    current = int(names[a])
+                for found, part in zip(held, counted_keys(texts[a:b], train[a:b], deleted[a:b])):
+                    found.append(part)
+        yield from flushed()
 
     return run
 
@@ -187,17 +194,20 @@ def added(group: pa.Table, sent: list[np.ndarray]) -> tuple[np.ndarray, ...]:
 
 
 def replies(group: pa.Table, sent: list[np.ndarray], keys: np.ndarray, n: np.ndarray, h: np.ndarray) -> list[tuple]:
-    """The counts of each sender's keys, in the order sent."""
+    """The counts of each sender's distinct keys, in their order."""
     kind, bucket = group.column("kind")[0].as_py(), group.column("bucket")[0].as_py()
-    rows = []
+    owned: dict[int, list[np.ndarray]] = {}
     for p, own in zip(group.column("p").to_pylist(), sent):
-        at = np.searchsorted(keys, own)
+        owned.setdefault(p, []).append(own)
+    rows = []
+    for p, own in owned.items():
+        at = np.searchsorted(keys, own[0] if len(own) == 1 else np.unique(np.concatenate(own)))
         rows.append((p, kind, bucket, pack(n[at]), pack(h[at]), 0, 0))
     return rows
 
 
 def merge(group: pa.Table) -> pa.Table:
-    """The counts of a range over the whole corpus, given back to each sender in the order it sent its keys.
+    """The counts of a range over the whole corpus, given back to each sender in the order of its keys.
 
     One more row without a sender tells how many keys were seen in training, and how often (of words only).
     """
@@ -236,7 +246,10 @@ def returned(group: pa.Table, answers: pa.Table) -> pa.Table:
 
 
 def answered(sent: DataFrame, senders: int, bits: int, fan_bits: int) -> tuple[DataFrame, DataFrame]:
-    """The corpus counts of everything sent, and the totals of each range. ``senders``: how many sent to one range."""
+    """The corpus counts of everything sent, and the totals of each range. ``senders``: how many sent to one range.
+
+    Senders are counted once each, whatever the number of their rows.
+    """
     groups = -(-senders // (1 << fan_bits))
     if groups <= 1 or bits + fan_bits > KEY_BITS:
         answers = materialize(sent.groupBy("kind", "bucket").applyInArrow(merge, fields(ANSWER)), "answers")
@@ -251,20 +264,31 @@ def answered(sent: DataFrame, senders: int, bits: int, fan_bits: int) -> tuple[D
 
 def attach(docs: pa.Table, answers: pa.Table) -> pa.Table:
     """Each document of a chunk with the counts of its words and pairs; without its own fold if that is deleted."""
+    target = arrow_schema(fields(COUNTED))
+    if not docs.num_rows:
+        return target.empty_table()
+    texts = [t or b"" for t in utf8(docs.column("text").combine_chunks())]
+    seq = Sequences(texts)
     answers = answers.sort_by([("kind", "ascending"), ("bucket", "ascending")])
     kinds = answers.column("kind").to_numpy()
     got = {c: [unpack(x) for x in answers.column(c).to_pylist()] for c in ("n", "h")}
     whole = {(c, kind): np.concatenate([a for a, k in zip(got[c], kinds) if k == kind]).astype("int64") for c in ("n", "h") for kind in (0, 1)}
     del got, answers
+    distinct, at_word = np.unique(seq.keys, return_inverse=True)
+    pairs, at_pair = np.unique(seq.pairs, return_inverse=True)
+    if len(distinct) != len(whole["n", 0]) or len(pairs) != len(whole["n", 1]):
+        raise RuntimeError("a chunk's answers do not fit its documents")
+    words = {c: whole[c, 0][at_word][seq.words] for c in ("n", "h")}
+    twos = {c: whole[c, 1][at_pair] for c in ("n", "h")}
+    ends = np.cumsum(seq.lengths)
     rows = []
-    for doc_id, held_out, deleted, words, pairs in zip(*(docs.column(c).to_pylist() for c in ("doc_id", "held_out", "deleted", "words", "pairs"))):
-        places = unpack(words).astype("int64"), unpack(pairs).astype("int64")
-        counts = [whole["n", kind][at] for kind, at in enumerate(places)]
-        kept = (pack(c - whole["h", kind][at]) for kind, (c, at) in enumerate(zip(counts, places))) if deleted else (None, None)
-        rows.append((doc_id, held_out, *map(pack, counts), *kept))
-    del whole
+    for n, (doc_id, held_out, deleted) in enumerate(zip(*(docs.column(c).to_pylist() for c in ("doc_id", "held_out", "deleted")))):
+        cut = slice(int(ends[n] - seq.lengths[n]), int(ends[n]))
+        kept = (pack(words["n"][cut] - words["h"][cut]), pack(twos["n"][cut] - twos["h"][cut])) if deleted else (None, None)
+        rows.append((doc_id, held_out, cut.stop - cut.start, pack(words["n"][cut]), pack(twos["n"][cut]), *kept))
+    del seq, texts, whole, words, twos, distinct, at_word, pairs, at_pair
     release()
-    return table_of(rows, arrow_schema(fields(COUNTED)))
+    return table_of(rows, target)
 
 
 def contexts(words: np.ndarray, starts: int) -> np.ndarray:
@@ -372,23 +396,21 @@ def score(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, fan_bits: int = FAN_B
     held = crc_mod(F.col("doc_id"), FOLDS) == HELD
     deleted = F.pmod((F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) / FOLDS).cast("long"), F.lit(DELETED)) == 0
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select("doc_id", "text", held.alias("held_out"), (~held).alias("train"), (~held & deleted).alias("deleted"))
-    written = materialize(rows.mapInArrow(write(chunk_bytes, fan_bits), fields(f"{SENT}, {DOCUMENT}")), "chunks")
-    documents = written.where("kind IS NULL").select("p", *fields(DOCUMENT).names)
-    sums = documents.agg(
-        F.countDistinct("p").alias("chunks"), F.count_if("train").alias("docs"), F.count_if("deleted").alias("deleted"),
-        F.sum(F.when(F.col("deleted"), F.col("tokens"))).alias("gone"),
-    ).first()
+    named = fields("doc_id long, text string, held_out boolean, train boolean, deleted boolean, p long")
+    chunks = materialize(rows.mapInArrow(dealt(chunk_bytes, named), named), "chunks")
+    sums = chunks.agg(F.countDistinct("p").alias("chunks"), F.count_if("train").alias("docs"), F.count_if("deleted").alias("deleted")).first()
     if not sums["chunks"]:
         return spark.createDataFrame([], "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    sent = written.where("kind IS NOT NULL").select(*fields(SENT).names)
+    sent = chunks.select("text", "train", "deleted", "p").mapInArrow(send(fan_bits), fields(SENT))
     answers, ranges = answered(sent, sums["chunks"], fan_bits, fan_bits)
     seen = ranges.agg(F.sum("distinct").alias("distinct"), F.sum("total").alias("total")).first()
     distinct, total = seen["distinct"] or 0, seen["total"] or 0
-    met = documents.select("p", "doc_id", "held_out", "deleted", "words", "pairs").groupBy("p").cogroup(answers.groupBy("p"))
+    met = chunks.select("p", "doc_id", "text", "held_out", "deleted").groupBy("p").cogroup(answers.groupBy("p"))
     counted = materialize(met.applyInArrow(attach, fields(COUNTED)), "counted")
     # the deleted fold's own tokens are not part of what its estimates divide by
     fold = counted.where("kept_words IS NOT NULL")
-    kept_total, kept_starts = total - (sums["gone"] or 0), sums["docs"] - sums["deleted"]
+    gone = fold.agg(F.sum("tokens")).first()[0] or 0
+    kept_total, kept_starts = total - gone, sums["docs"] - sums["deleted"]
     bins = fold.mapInArrow(histogram(kept_total, kept_starts), fields(BINS)).groupBy("bucket", "two", "one").agg(F.sum("times").alias("times")).orderBy("bucket", "two", "one").toArrow()
     b, two, one, times = (bins.column(c).to_numpy() for c in ("bucket", "two", "one", "times"))
     mixture = weights(b, unbinned(two), unbinned(one), times.astype("float64"), distinct)

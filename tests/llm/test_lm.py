@@ -84,6 +84,18 @@ def test_matches_brute_force(spark):
     assert sum(r[6] for r in held) > sum(r[5] for r in held)
 
 
+def test_a_chunk_read_by_two_tasks_gets_one_answer():
+    texts, flags = [b"a b a", b"b c"], [True, False]
+    once = lm.counted_keys(texts, flags, flags)[1]
+    rows = []
+    for text, flag in zip(texts, flags):
+        keys, n, h = lm.counted_keys([text], [flag], [flag])[1]
+        rows.append((7, 1, 0, lm.pack(np.diff(keys, prepend=np.uint64(0))), lm.pack(n), lm.pack(h)))
+    answers = lm.merge(lm.table_of(rows, lm.arrow_schema(lm.fields(lm.SENT)))).to_pylist()
+    assert [r["p"] for r in answers] == [7, None]
+    assert lm.unpack(answers[0]["n"]).tolist() == once[1].tolist()
+
+
 def test_split_planning_does_not_matter(spark, tmp_path):
     docs = zipf(200)
     spark.createDataFrame(docs, "doc_id long, text string").coalesce(1).write.option("parquet.block.size", 4096).parquet(str(tmp_path / "docs"))
@@ -100,10 +112,11 @@ def test_split_planning_does_not_matter(spark, tmp_path):
 def test_rows_sent_grow_with_the_input():
     def sent(count):
         generator = random.Random(3)
-        flags = {"doc_id": [1], "held_out": [False], "train": [True], "deleted": [False]}
-        level = [lm.chunk(p, [" ".join(f"w{generator.randrange(9000)}" for _ in range(500)).encode()], flags, 4)[0] for p in range(count)]
+        level = []
+        for p in range(count):
+            words = [" ".join(f"w{generator.randrange(9000)}" for _ in range(500)).encode()]
+            level += [row for kind, own in enumerate(lm.counted_keys(words, [True], [False])) for row in lm.ranged(p, kind, 4, *own)]
         rows, bits, target = 0, 4, lm.arrow_schema(lm.fields(lm.SENT))
-        level = [row for own in level for row in own]
         senders = count
         while True:
             rows += len(level)

@@ -4,13 +4,15 @@ Every distinct item word is given one code point of its own, so that a text beco
 character per word (words that no item has share a filler), and an item window becomes a pattern of at most
 13 characters. One scan of that string finds all windows; word numbers lead back to offsets in the text.
 
-Items are small next to the corpus, but their size is checked: they are cut into blocks of ``block_bytes``,
-each with an automaton of its own, and the documents pass the blocks one after the other.
+Items are small next to the corpus, but the number of their windows is checked: they are cut into passages that keep
+every window whole, and passages into blocks of about ``block_windows`` windows, each with an automaton of its own. The documents
+pass the blocks one after the other. A worker process builds the automaton of a block once for all its tasks.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -19,11 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpuslens.llm.common import ALNUM_TABLE, alnum_words, arrow_schema, lean, slices, utf8
+from corpuslens.llm.common import ALNUM_TABLE, CACHES, alnum_words, arrow_schema, release, slices, trim, utf8
 from corpuslens.sources.tables import materialize
 
 WINDOW = 13
-BLOCK_BYTES = 32 << 20
+#: Windows of an automaton; each takes about a kilobyte.
+BLOCK_WINDOWS = 200_000
+#: Windows of a passage of an item.
+PASSAGE_WINDOWS = 2_000
 FILLER = "\x01"
 #: Code points for item words: planes above the surrogates, one character per word.
 FIRST_CODE, CODES = 0xE000, 0x110000 - 0xE000
@@ -111,9 +116,33 @@ def offsets(data: bytes, runs: list[list[int]]) -> list[dict]:
     return spans
 
 
+#: The automaton of the block at hand, by the block's name; any other operator's ``release`` drops it.
+BUILT: dict[str, WindowAutomaton] = {}
+CACHES.append(BUILT.clear)
+
+
+def automaton_of(name: str, loaded, window: int) -> WindowAutomaton:
+    if name not in BUILT:
+        release()
+        BUILT[name] = WindowAutomaton(loaded.value, window)
+    return BUILT[name]
+
+
+def passages(items: DataFrame, window: int = WINDOW, size: int = PASSAGE_WINDOWS) -> DataFrame:
+    """item_id, text, windows: items as overlapping passages of at most ``size`` windows, which together hold each window.
+
+    Items without words have no passage; nulls are left out. Repeated items count once.
+    """
+    words = F.expr(r"regexp_extract_all(text, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+', 0)")
+    worded = items.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", words.alias("words")).where("size(words) > 0").distinct()
+    count = F.greatest(F.size("words") - (window - 1), F.lit(1))
+    cut = worded.withColumn("windows", count).select("item_id", "words", "windows", F.explode(F.expr(f"sequence(0, windows - 1, {size})")).alias("first"))
+    return cut.select("item_id", F.array_join(F.slice("words", F.col("first") + 1, size + window - 1), " ").alias("text"), F.least(F.col("windows") - F.col("first"), F.lit(size)).alias("windows"))
+
+
 def scan(
     docs: DataFrame, items: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), into: str = "contamination",
-    window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+    window: int = WINDOW, block_windows: int = BLOCK_WINDOWS,
 ) -> DataFrame:
     """The ``keep`` columns and a struct ``into``: n_words, n_hit, item_ids (sorted), spans (character offsets).
 
@@ -122,9 +151,11 @@ def scan(
     whatever their names, are not read.
     """
     spark = docs.sparkSession
-    usable = items.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL")
-    size = usable.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-size // block_bytes) or 1
+    usable = passages(items.select("item_id", "text"), window, min(PASSAGE_WINDOWS, block_windows))
+    count = usable.agg(F.sum("windows")).first()[0] or 0
+    blocks = -(-count // block_windows) or 1
+    if blocks > 1:
+        usable = materialize(usable, "passages")
     # a text that is kept goes to Python once
     source = text if text in keep else "__text"
     rows = docs.select(*keep) if text in keep else docs.select(*keep, F.col(text).alias(source))
@@ -135,13 +166,13 @@ def scan(
         loaded = spark.sparkContext.broadcast([(r[0], r[1].encode()) for r in part.collect()])
         if block:
             rows = materialize(rows, "decontaminate")
-        rows = rows.mapInArrow(lean(scanner(loaded, carried, source, into, window, block == blocks - 1, schema)), schema)
+        rows = rows.mapInArrow(scanner(uuid.uuid4().hex, loaded, carried, source, into, window, block == blocks - 1, schema), schema)
     return rows.select(*keep, into)
 
 
-def scanner(loaded, carried: tuple[str, ...], source: str, into: str, window: int, last: bool, schema: T.StructType):
+def scanner(name: str, loaded, carried: tuple[str, ...], source: str, into: str, window: int, last: bool, schema: T.StructType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = WindowAutomaton(loaded.value, window)
+        automaton = automaton_of(name, loaded, window)
         target = arrow_schema(schema)
         for batch in slices(batches, source):
             before = batch.column(into).to_pylist() if into in batch.schema.names else None
@@ -161,6 +192,7 @@ def scanner(loaded, carried: tuple[str, ...], source: str, into: str, window: in
                 columns[-1] = pa.nulls(batch.num_rows, target.field(source).type)
             columns += [pa.array(found, target.field(into).type), pa.array(kept_runs, target.field("__runs").type)]
             yield pa.RecordBatch.from_arrays(columns, schema=target)
+        trim()
 
     return run
 

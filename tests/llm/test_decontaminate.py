@@ -1,10 +1,13 @@
 import hashlib
 import random
 import re
+import subprocess
+import sys
 
 import pytest
 
 from corpuslens.llm import decontaminate
+from corpuslens.llm.common import release
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -43,14 +46,53 @@ def case(spark):
     return docs, items, spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 40])
-def test_counts_match_brute_force(case, block_bytes):
+@pytest.mark.parametrize("block_windows", [decontaminate.BLOCK_WINDOWS, 7])
+def test_counts_match_brute_force(case, block_windows):
     docs, items, table, bench = case
     usable = [(i, t) for i, t in items if i is not None and t is not None]
-    rows = decontaminate.digest(decontaminate.scan(table, bench, block_bytes=block_bytes)).collect()
+    rows = decontaminate.digest(decontaminate.scan(table, bench, block_windows=block_windows)).collect()
     assert {r[0]: tuple(r[1:]) for r in rows} == {i: brute(t, usable) for i, t in docs}
 
 
+@pytest.mark.parametrize("size", [1, 3, 100])
+def test_passages_keep_every_window(spark, size):
+    items = [(1, "A b, c! d é7 f g"), (1, "A b, c! d é7 f g"), (2, "a b"), (3, "\u212a x_y z"), (4, " .. "), (None, "a b c"), (5, None)]
+
+    def windows(rows):
+        cut = ((i, WORD.findall(lowered(t))) for i, t in rows)
+        return {(i, tuple(w[n : n + 4])) for i, w in cut if w for n in range(max(len(w) - 3, 1))}
+
+    found = decontaminate.passages(spark.createDataFrame(items, "item_id long, text string"), 4, size).collect()
+    assert windows((r["item_id"], r["text"]) for r in found) == windows((i, t) for i, t in items if i is not None and t is not None)
+    assert all(r["windows"] == max(len(r["text"].split()) - 3, 1) <= size for r in found)
+    assert sum(r["windows"] for r in found) == 4 + 1 + 1
+
+
+def test_an_automaton_of_a_full_block_is_bounded():
+    code = """
+import random, resource
+from corpuslens.llm import decontaminate as d
+g = random.Random(1)
+words = [f"w{n}" for n in range(60_000)]
+items = [(n, " ".join(g.choice(words) for _ in range(d.PASSAGE_WINDOWS + 12)).encode()) for n in range(d.BLOCK_WINDOWS // d.PASSAGE_WINDOWS)]
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+d.WindowAutomaton(items)
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before)
+"""
+    grown = int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout)
+    assert grown < 1_000_000  # kilobytes
+
+
+def test_a_worker_builds_an_automaton_once():
+    class Loaded:
+        value = [(1, b"a b")]
+
+    first = decontaminate.automaton_of("block", Loaded, 13)
+    assert decontaminate.automaton_of("block", Loaded, 13) is first
+    release()
+    assert not decontaminate.BUILT
+
+
 def test_two_characters_per_word():
     items = [(1, b"a b c d"), (2, b"d c b a e")]
     narrow, wide = decontaminate.WindowAutomaton(items, 3), decontaminate.WindowAutomaton(items, 3, codes=4)

@@ -6,6 +6,7 @@ from corpuslens.plans.queries import (  # noqa: F401
     intake,
     leakage,
     modelling,
+    near_duplicates,
     profile,
     scoring,
     splits,

@@ -6,10 +6,14 @@ similarity. Similar classes need no link of their own once others connect them,
 
 1. Each class meets the smallest class of every prefix shingle: as many candidates as prefix entries, whatever the group's size.
 2. Where a prefix shingle still joins different components, classes of different components meet.
+
+Shingles are 64-bit hashes, computed again in each pass over the texts: stored, they would take more room than the texts. Whole sets
+are kept only of classes that are candidates.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,73 +21,111 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuslens.operators.dedup import BROADCAST_IDS
 from corpuslens.sources.tables import materialize
 
 PERCENT = 92
 WORDS = 5
-#: Shingles whose frequency decides their order; the others come first, by hash.
-LISTED = 1_000_000
+#: Shingles are ordered by how often those with the same highest bits occur: enough to tell a shingle of a thousandth of all texts.
+FREQUENCY_BITS = 18
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingle_sets(df: DataFrame, text: Column, words: int = WORDS) -> DataFrame:
-    """row_id, size, shingles (sorted hashes of the distinct ``words``-word runs) and digest of each row.
-
-    A-Z are lowered and words end at ASCII white space. Fewer words than ``words`` are one shingle; null and empty texts have none.
-    """
+def hashed_words(df: DataFrame, text: Column) -> DataFrame:
+    """row_id and the hashes of the text's words. A-Z are lowered, words end at ASCII white space; nulls have none."""
     lowered = df.select("row_id", F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER).alias("text"))
-    worded = lowered.select("row_id", F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)").alias("words"))
-    runs = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size("words") - (words - 1), F.lit(1))),
-        lambda at: F.xxhash64(F.slice("words", at, words)),
-    )
-    found = worded.select("row_id", F.when(F.size("words") > 0, F.array_sort(F.array_distinct(runs))).alias("shingles"))
-    digest = F.sha2(F.array_join(F.transform("shingles", lambda s: s.cast("string")), ","), 256)
-    return found.select("row_id", F.coalesce(F.size("shingles"), F.lit(0)).alias("size"), "shingles", digest.alias("digest"))
+    words = F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")
+    return lowered.select("row_id", F.transform(words, lambda word: F.xxhash64(word)).alias("words"))
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * STEP
+    return x ^ (x >> np.uint64(29))
+
+
+def shingle_sets(batch: pa.RecordBatch, words: int) -> Iterator[np.ndarray]:
+    """The sorted distinct shingles of each row; fewer words than ``words`` are one shingle, no words none."""
+    column = batch.column("words")
+    offsets = column.offsets.to_numpy()
+    flat = column.values.to_numpy().astype("uint64")
+    whole = np.zeros(max(len(flat) - words + 1, 0), "uint64")
+    for k in range(words):
+        whole = mixed(whole + flat[k : k + len(whole)] + STEP)
+    for first, last in zip(offsets.tolist(), offsets[1:].tolist()):
+        if last - first >= words:
+            yield np.unique(whole[first : last - words + 1])
+        elif last > first:
+            short = np.array([last - first], "uint64")
+            for at in range(first, last):
+                short = mixed(short + flat[at : at + 1] + STEP)
+            yield short
+        else:
+            yield np.empty(0, "uint64")
+
+
+def place(shingles: np.ndarray, bits: int) -> np.ndarray:
+    return (shingles >> np.uint64(64 - bits)).astype("int64")
+
 
+def frequencies(hashed: DataFrame, words: int, bits: int) -> np.ndarray:
+    """How often shingles of each of ``2**bits`` ranges occur."""
 
-def listed_shingles(classes: DataFrame, listed: int = LISTED) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles, sorted, and in how many classes they are: at most ``listed``."""
-    counts = classes.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
-    counts = materialize(counts.withColumn("power", F.floor(F.log2("n")).cast("int")), "shingle-counts")
-    least, total = 64, 0
-    for row in sorted(counts.groupBy("power").count().collect(), reverse=True):
-        total += row["count"]
-        if total > listed:
-            break
-        least = row["power"]
-    found = counts.where(F.col("power") >= least).select("shingle", "n").toArrow().sort_by("shingle")
-    return found.column("shingle").to_numpy(), found.column("n").to_numpy()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << bits, "int64")
+        for batch in batches:
+            found = list(shingle_sets(batch, words))
+            if found:
+                counts += np.bincount(place(np.concatenate(found), bits), minlength=1 << bits)
+        seen = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], names=["place", "n"])
+
+    found = hashed.mapInArrow(run, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << bits, "int64")
+    counts[found.column("place").to_numpy()] = found.column("n").to_numpy()
+    return counts
 
 
-def prefix_entries(classes: DataFrame, percent: int = PERCENT, listed: int = LISTED) -> DataFrame:
-    """shingle, at, digest, size: the prefix of each class, rarest shingles first."""
-    order = classes.sparkSession.sparkContext.broadcast(listed_shingles(classes, listed))
+def marked(hashed: DataFrame, percent: int, words: int, bits: int) -> DataFrame:
+    """row_id, size, digest of the set, and its prefix: as many of the rarest shingles as leave too few for the similarity."""
+    order = hashed.sparkSession.sparkContext.broadcast(frequencies(hashed, words, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, times = order.value
         for batch in batches:
-            prefixes = []
-            for shingles in batch.column("shingles"):
-                own = shingles.values.to_numpy()
-                n = np.zeros(len(own), "int64")
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-                    n = np.where(known[at] == own, times[at], 0)
+            sizes, digests, prefixes = [], [], []
+            for own in shingle_sets(batch, words):
                 needed = -(-percent * len(own) // 100)
-                prefixes.append(own[np.lexsort((own, n))[: len(own) - needed + 1]])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("digest"), batch.column("size"), pa.array(prefixes, pa.list_(pa.int64()))], names=["digest", "size", "prefix"]
-            )
+                rare = np.lexsort((own, order.value[place(own, bits)]))[: len(own) - needed + 1]
+                sizes.append(len(own))
+                digests.append(hashlib.sha256(own.tobytes()).digest()[:16])
+                prefixes.append(own[rare].astype("int64"))
+            columns = [batch.column("row_id"), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["row_id", "size", "digest", "prefix"])
 
-    ordered = classes.select("digest", "size", "shingles").mapInArrow(run, "digest string, size int, prefix array<bigint>")
-    return ordered.select("digest", "size", F.posexplode("prefix").alias("at", "shingle"))
+    return hashed.mapInArrow(run, "row_id bigint, size int, digest binary, prefix array<bigint>")
 
 
-def similar(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def sets_of(pairs: DataFrame, rows: DataFrame, df: DataFrame, text: Column, words: int) -> DataFrame:
+    """digest and shingles of the classes that occur in pairs; only texts of their first ids are read."""
+    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct(), "wanted")
+    ids = materialize(rows.select("row_id", "digest").join(wanted, "digest").groupBy("digest").agg(F.min("row_id").alias("wanted_id")).select("wanted_id").distinct(), "wanted-ids")
+    small = ids.count() <= BROADCAST_IDS
+    ids = F.broadcast(ids) if small else ids
+    chosen = df.select("row_id", text.alias("text")).join(ids, F.col("row_id").eqNullSafe(F.col("wanted_id")), "left_semi")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = list(shingle_sets(batch, words))
+            digests = [hashlib.sha256(own.tobytes()).digest()[:16] for own in found]
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array([s.astype("int64") for s in found], pa.list_(pa.int64()))], names=["digest", "shingles"])
+
+    sets = hashed_words(chosen, F.col("text")).mapInArrow(run, "digest binary, shingles array<bigint>")
+    return materialize(sets.join(wanted, "digest", "left_semi").groupBy("digest").agg(F.first("shingles").alias("shingles")), "sets")
+
+
+def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those pairs (a, b) of digests whose whole sets are similar enough."""
-    sets = classes.select("digest", "shingles")
     joined = pairs.join(sets.toDF("a", "of_a"), "a").join(sets.toDF("b", "of_b"), "b")
     common = F.size(F.array_intersect("of_a", "of_b"))
     union = F.size("of_a") + F.size("of_b") - common
@@ -135,22 +177,28 @@ def across(entries: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     return met(placed.alias("x").join(placed.alias("y"), "shingle").where(apart & possible(percent)))
 
 
-def near_duplicates(df: DataFrame, text: Column, percent: int = PERCENT, words: int = WORDS, listed: int = LISTED) -> DataFrame:
+def near_duplicates(df: DataFrame, text: Column, percent: int = PERCENT, words: int = WORDS, bits: int = FREQUENCY_BITS) -> DataFrame:
     """row_id, n_shingles, class_id (smallest row_id that links of at least ``percent`` % similarity lead to), kept.
 
     One row per input row. Texts without words are linked with nothing and are a class of their own each. Repeated ids are judged
     by each row's text; a null id is never the class id unless all ids of its class are null. Other columns are not read.
     """
-    rows = materialize(shingle_sets(df, text, words), "shingles")
+    df = df.withColumn("row_id", F.col("row_id").cast("bigint"))
+    rows = materialize(marked(hashed_words(df, text), percent, words, bits), "marked")
     full = rows.where("size > 0")
-    classes = materialize(full.groupBy("digest").agg(F.first("size").alias("size"), F.first("shingles").alias("shingles")), "classes")
-    entries = materialize(prefix_entries(classes, percent, listed), "prefixes")
-    first = materialize(similar(to_heads(entries, percent), classes, percent), "links")
-    second = materialize(similar(across(entries, components(first), percent), classes, percent), "links")
+    classes = materialize(full.groupBy("digest").agg(F.first("size").alias("size"), F.first("prefix").alias("prefix")), "classes")
+    entries = classes.select("digest", "size", F.posexplode("prefix").alias("at", "shingle"))
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        pairs = materialize(pairs, "candidates")
+        return materialize(similar(pairs, sets_of(pairs, rows, df, text, words), percent), "links")
+
+    first = confirmed(to_heads(entries, percent))
+    second = confirmed(across(entries, components(first), percent))
     roots = components(first.unionByName(second))
-    marked = full.select("row_id", "size", "digest").join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
-    least = marked.groupBy("root").agg(F.min("row_id").alias("class_id"))
-    linked = marked.join(least, "root").select("row_id", "size", "class_id")
+    grouped = full.select("row_id", "size", "digest").join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
+    least = grouped.groupBy("root").agg(F.min("row_id").alias("class_id"))
+    linked = grouped.join(least, "root").select("row_id", "size", "class_id")
     alone = rows.where("size = 0").select("row_id", "size", F.col("row_id").alias("class_id"))
     return linked.unionByName(alone).select(
         "row_id", F.col("size").cast("bigint").alias("n_shingles"), "class_id", F.coalesce(F.col("row_id") == F.col("class_id"), F.lit(False)).alias("kept")

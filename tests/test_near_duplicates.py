@@ -34,15 +34,15 @@ def brute(rows, percent, words):
     return sorted(((r[0], len(sets[i]), least.get(find(i))) for i, r in enumerate(rows)), key=repr)
 
 
-def got(spark, rows, percent=nd.PERCENT, words=nd.WORDS, listed=nd.LISTED):
-    found = nd.near_duplicates(spark.createDataFrame(rows, SCHEMA), F.col("text"), percent, words, listed).collect()
+def got(spark, rows, percent=nd.PERCENT, words=nd.WORDS, bits=nd.FREQUENCY_BITS):
+    found = nd.near_duplicates(spark.createDataFrame(rows, SCHEMA), F.col("text"), percent, words, bits).collect()
     assert all(r["kept"] == (r["row_id"] is not None and r["row_id"] == r["class_id"]) for r in found)
     return sorted(((r["row_id"], r["n_shingles"], r["class_id"]) for r in found), key=repr)
 
 
-@pytest.mark.parametrize("percent,listed", [(92, nd.LISTED), (60, 5), (60, 0)])
-def test_matches_brute_force(spark, percent, listed):
-    generator = random.Random(percent + listed)
+@pytest.mark.parametrize("percent,bits", [(92, nd.FREQUENCY_BITS), (60, 10), (60, 1)])
+def test_matches_brute_force(spark, percent, bits):
+    generator = random.Random(percent + bits)
     passage = [f"common{n}" for n in range(30)]
     rows = []
     for group in range(25):
@@ -54,7 +54,7 @@ def test_matches_brute_force(spark, percent, listed):
             rows.append((len(rows), " ".join(text), "clash", 1, 2))
     # a chain whose ends are not similar
     rows += [(500 + n, " ".join(f"c{i}" for i in range(n * 3, n * 3 + 100)), None, None, None) for n in range(12)]
-    assert got(spark, rows, percent, 3, listed) == brute(rows, percent, 3)
+    assert got(spark, rows, percent, 3, bits) == brute(rows, percent, 3)
 
 
 def test_edges(spark):
@@ -74,11 +74,13 @@ def test_large_group_has_few_candidates(spark):
     base = [f"w{n}" for n in range(400)]
     rows = [(n, " ".join([*base[:200], f"own{n}", *base[201:]]), None, None, None) for n in range(150)]
     assert {r[2] for r in got(spark, rows)} == {0}
-    full = nd.shingle_sets(spark.createDataFrame(rows, SCHEMA), F.col("text"))
-    entries = materialize(nd.prefix_entries(full, nd.PERCENT), "prefixes")
+    table = spark.createDataFrame(rows, SCHEMA)
+    found = materialize(nd.marked(nd.hashed_words(table, F.col("text")), nd.PERCENT, nd.WORDS, nd.FREQUENCY_BITS), "marked")
+    entries = found.select("digest", "size", F.posexplode("prefix").alias("at", "shingle"))
     star = materialize(nd.to_heads(entries, nd.PERCENT), "star")
     assert star.count() <= entries.count() < 150 * 40
-    assert nd.across(entries, nd.components(nd.similar(star, full, nd.PERCENT)), nd.PERCENT).isEmpty()
+    links = nd.similar(star, nd.sets_of(star, found, table, F.col("text"), nd.WORDS), nd.PERCENT)
+    assert nd.across(entries, nd.components(links), nd.PERCENT).isEmpty()
 
 
 def test_query_matches_sql(spark, small):

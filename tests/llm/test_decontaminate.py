@@ -7,7 +7,6 @@ import sys
 import pytest
 
 from corpuslens.llm import decontaminate
-from corpuslens.llm.common import release
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -83,16 +82,6 @@ print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before)
     assert grown < 1_000_000  # kilobytes
 
 
-def test_a_worker_builds_an_automaton_once():
-    class Loaded:
-        value = [(1, b"a b")]
-
-    first = decontaminate.automaton_of("block", Loaded, 13)
-    assert decontaminate.automaton_of("block", Loaded, 13) is first
-    release()
-    assert not decontaminate.BUILT
-
-
 def test_two_characters_per_word():
     items = [(1, b"a b c d"), (2, b"d c b a e")]
     narrow, wide = decontaminate.WindowAutomaton(items, 3), decontaminate.WindowAutomaton(items, 3, codes=4)

@@ -27,6 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The files of one table as a stream, be the table one file or a folder of files.
+
+    A file stream takes a folder or a glob; a filter on file names would miss the files inside a folder.
+    """
+    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(f"{sf_dir}/{{{name}}}.parquet")
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Rows dealt over as many tasks as there are cores, where the files give fewer.
 

@@ -51,9 +51,7 @@ def stream_rollup(spark, sf_dir):
 @query("split_group_stream", f"WITH {fx.SPLIT} SELECT row_id, split FROM split")
 def split_group_stream(spark, sf_dir):
     """Articles arriving as a stream, prepared, split and stored by split."""
-    schema = fx.table(spark, sf_dir, "documents").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").option("recursiveFileLookup", "true")
-    documents = stream.parquet(f"{sf_dir}").select("doc_id", "text", "source")
+    documents = fx.table_stream(spark, sf_dir, "documents").select("doc_id", "text", "source")
     base = f"{shared_root(spark)}/corpuslens/split-{uuid.uuid4().hex}"
     arrived = prepare(fx.labelled(documents, fx.table(spark, sf_dir, "labels")))
     rollup.append_splits(arrived, f"{base}/out", f"{base}/state").awaitTermination()

@@ -87,3 +87,23 @@ def test_no_source_in_two_splits(spark):
     shares = {r["split"]: r["count"] / len(rows) for r in split.groupBy("split").count().collect()}
     assert abs(shares["train"] - 0.7) < 0.06 and abs(shares["test"] - 0.15) < 0.06
     assert split_sources(table.limit(0)).count() == 0
+
+
+def table_as_folder(spark, small, base, *folders):
+    """The tables of ``small`` below ``base``, those named as folders of three files."""
+    import os
+
+    for name in ("documents", "labels", "conversations"):
+        if name in folders:
+            spark.read.parquet(f"{small}/{name}.parquet").repartition(3).write.parquet(f"{base}/{name}.parquet")
+        else:
+            os.symlink(f"{small}/{name}.parquet", f"{base}/{name}.parquet")
+    return str(base)
+
+
+def test_split_stream_reads_a_table_of_several_files(spark, small, tmp_path):
+    from corpuslens.plans.queries.streams import split_group_stream
+
+    wanted = sorted(map(tuple, split_group_stream(spark, small).collect()))
+    found = split_group_stream(spark, table_as_folder(spark, small, tmp_path, "documents"))
+    assert wanted and sorted(map(tuple, found.collect())) == wanted

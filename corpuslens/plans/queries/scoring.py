@@ -352,11 +352,7 @@ def stream_score(spark, sf_dir):
     from corpuslens.streaming.score import score_stream, write_stream
 
     model = _model(cleaned(spark, sf_dir))
-    schema = fx.table(spark, sf_dir, "conversations").schema
-    # A file stream reads folders; the glob narrows it to the one table.
-    stream = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet").parquet(sf_dir)
-    )
+    stream = fx.table_stream(spark, sf_dir, "conversations")
     base = f"{shared_root(spark)}/corpuslens/stream-{uuid.uuid4().hex}"
     query_ = write_stream(score_stream(stream, model), f"{base}/out", f"{base}/state")
     query_.awaitTermination()

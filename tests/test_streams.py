@@ -107,3 +107,11 @@ def test_split_stream_reads_a_table_of_several_files(spark, small, tmp_path):
     wanted = sorted(map(tuple, split_group_stream(spark, small).collect()))
     found = split_group_stream(spark, table_as_folder(spark, small, tmp_path, "documents"))
     assert wanted and sorted(map(tuple, found.collect())) == wanted
+
+
+def test_score_stream_reads_a_table_of_several_files(spark, small, tmp_path):
+    from corpuslens.plans.queries.scoring import stream_score
+
+    wanted = sorted(map(repr, stream_score(spark, small).collect()))
+    found = stream_score(spark, table_as_folder(spark, small, tmp_path, "conversations"))
+    assert wanted and sorted(map(repr, found.collect())) == wanted

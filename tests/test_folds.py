@@ -95,3 +95,36 @@ def test_default_cross_validation_of_all_candidates(spark, small):
 def test_member_of_every_fold_is_a_model(clean):
     run = FoldRun(clean, ("naive_bayes",), folds=2, features=TOY).fit()
     assert isinstance(run.members["naive_bayes", 0], Member) and ("naive_bayes", WHOLE) not in run.members
+
+
+def test_blocks_are_bounded_and_keep_the_order(monkeypatch):
+    import pickle
+
+    import pyarrow as pa
+
+    from corpuslens.functions import sparse
+
+    monkeypatch.setattr(solver, "BLOCK_ENTRIES", 10)
+    lengths = np.array([4, 0, 4, 4, 30, 1, 0])
+    index, value = np.arange(lengths.sum()) % 7, np.arange(lengths.sum(), dtype=float)
+    batch = pa.RecordBatch.from_pydict({
+        "features": sparse.pack(7, lengths, index, value), "label": pa.array([1, 0, None, 1, 0, 1, 0], pa.int32()),
+        "fold": pa.array([0] * 7, pa.int32()), "shard": pa.array([3] * 7, pa.int32()),
+    })
+    found = [pickle.loads(b.column("block")[0].as_py()) for b in solver.packed([batch, batch.slice(0, 0)])]
+    assert all(f[0].sum() - f[0].max() <= 10 for f in found) and len(found) == 3
+    for number, wanted in enumerate((lengths, index, value, [1, 0, -1, 1, 0, 1, 0], [0] * 7, [3] * 7)):
+        assert np.concatenate([f[number] for f in found]).tolist() == list(wanted)
+
+
+def test_sums_spread_over_more_partitions_than_shards(spark, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+
+    monkeypatch.setattr(solver, "SPREAD_ROWS", 20)
+    rows = [(i, i % 2, Vectors.sparse(3, [i % 3], [1.0])) for i in range(1200)]
+    table = spark.createDataFrame(rows, ["row_id", "label", "features"])
+    for whole, parts in ((True, 8), (False, 24)):
+        with solver.dealt(table, 1200, 8, whole) as data:
+            assert data.parts == parts == data.blocks.getNumPartitions()
+            sums = solver.solve(data, [solver.View()], [(0, solver.summed_by_class(3))])[0]
+            assert sums[0].tolist() == sums[1].tolist() == [200.0] * 3

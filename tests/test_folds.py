@@ -128,3 +128,20 @@ def test_sums_spread_over_more_partitions_than_shards(spark, monkeypatch):
             assert data.parts == parts == data.blocks.getNumPartitions()
             sums = solver.solve(data, [solver.View()], [(0, solver.summed_by_class(3))])[0]
             assert sums[0].tolist() == sums[1].tolist() == [200.0] * 3
+
+
+def test_ensembles_of_several_candidates_share_one_run(clean, monkeypatch):
+    from corpuslens.operators import folds as fd
+    from corpuslens.operators.calibrate import fit_calibrated
+
+    counted = []
+    vocabularies = fd.fold_vocabularies
+    monkeypatch.setattr(fd, "fold_vocabularies", lambda *a: counted.append(1) or vocabularies(*a))
+    names = ("dummy", "naive_bayes")
+    run = FoldRun(clean, names, folds=3, features=TOY)
+    shared = {n: fit_calibrated(clean, n, ("isotonic",), features=TOY, run=run)["isotonic"] for n in names}
+    assert len(counted) == 1
+    alone = fit_calibrated(clean, "naive_bayes", ("isotonic",), features=TOY)["isotonic"]
+    for mine, other in zip(shared["naive_bayes"].members, alone.members):
+        assert np.allclose(mine.linear.coefficients, other.linear.coefficients)
+        assert np.allclose(mine.calibrator.x, other.calibrator.x) and np.allclose(mine.calibrator.y, other.calibrator.y)

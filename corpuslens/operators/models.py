@@ -65,32 +65,6 @@ def fit_majority(df: DataFrame, size: int) -> LinearModel:
     return majority_model(class_counts(df), size)
 
 
-@F.arrow_udf(
-    T.ArrayType(
-        T.StructType(
-            [T.StructField("index", T.IntegerType()), T.StructField("weight", T.DoubleType())]
-        )
-    )
-)
-def entries(vectors):
-    """Sparse vector as array<struct<index, weight>>."""
-    lengths, index, value = sparse.unpack(vectors)
-    flat = pa.StructArray.from_arrays(
-        [pa.array(index.astype(np.int32)), pa.array(value)], names=["index", "weight"]
-    )
-    return sparse.lists(lengths, flat)
-
-
-def class_term_sums(df: DataFrame) -> DataFrame:
-    """Summed weight per (label, feature); at most two rows per feature leave a map task."""
-    return (
-        df.select("label", F.inline_outer(entries("features")))
-        .filter(F.col("index").isNotNull())
-        .groupBy("label", "index")
-        .agg(F.sum("weight").alias("weight"))
-    )
-
-
 def bayes_model(sums: dict[int, np.ndarray], counts: dict[int, int], size: int, alpha: float) -> LinearModel:
     """Multinomial naive Bayes in closed form from the class sums."""
     theta = {k: np.log(v + alpha) - np.log(v.sum() + alpha * size) for k, v in sums.items()}
@@ -102,15 +76,8 @@ def bayes_model(sums: dict[int, np.ndarray], counts: dict[int, int], size: int,
 
 
 def fit_naive_bayes(df: DataFrame, size: int, alpha: float = 0.5) -> LinearModel:
-    """Naive Bayes of rows (label, features); class sums come from one aggregate."""
-    counts = class_counts(df)
-    sums = {0: np.zeros(size), 1: np.zeros(size)}
-    # At most two rows per vocabulary entry, and the vocabulary is capped.
-    found = class_term_sums(df).toArrow()
-    labels, index, weight = (found.column(c).to_numpy() for c in ("label", "index", "weight"))
-    for k, total in sums.items():
-        total[index[labels == k]] = weight[labels == k]
-    return bayes_model(sums, counts, size, alpha)
+    """Naive Bayes of rows (row_id, label, features); class sums come from one pass over bounded blocks."""
+    return _fitted("naive_bayes", df, size, ModelOptions(naive_bayes_alpha=alpha))
 
 
 def majority_model(counts: dict[int, int], size: int) -> LinearModel:

@@ -145,3 +145,21 @@ def test_ensembles_of_several_candidates_share_one_run(clean, monkeypatch):
     for mine, other in zip(shared["naive_bayes"].members, alone.members):
         assert np.allclose(mine.linear.coefficients, other.linear.coefficients)
         assert np.allclose(mine.calibrator.x, other.calibrator.x) and np.allclose(mine.calibrator.y, other.calibrator.y)
+
+
+def test_bayes_alone_takes_one_pass_over_blocks(spark, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+
+    from corpuslens.operators.models import fit_classifier
+
+    passes = []
+    answered = solver.answered
+    monkeypatch.setattr(solver, "answered", lambda *a: passes.append(1) or answered(*a))
+    rows = [(i, int(i % 3 == 0), Vectors.sparse(4, [i % 4], [0.5])) for i in range(60)]
+    linear = fit_classifier("naive_bayes", spark.createDataFrame(rows, ["row_id", "label", "features"]), 4)
+    assert len(passes) == 1
+    sums = np.zeros((2, 4))
+    for i, label, _ in rows:
+        sums[label, i % 4] += 0.5
+    theta = np.log(sums + 0.5) - np.log(sums.sum(1, keepdims=True) + 2.0)
+    assert np.allclose(linear.coefficients, theta[1] - theta[0]) and np.isclose(linear.intercept, np.log(20 / 40))

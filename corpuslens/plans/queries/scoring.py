@@ -201,7 +201,7 @@ def positive_scores(spark, sf_dir):
     model = _model(rows)
     member = model.members[0]
     margins = sc.TextModel((sc.Member(member.features, hashed_linear(member.features, "margin")),))
-    both = sc.with_scores(sc.with_scores(rows, model, 0, "a"), margins, 0, "b")
+    both = sc.with_all_scores(rows, {"a": model, "b": margins})
     return both.select(
         "row_id", r6("a.score").alias("probability"), r6("b.score").alias("decision_score")
     )

@@ -37,19 +37,18 @@ def confidence_of(prediction: Column, score: Column, kind: str) -> Column:
 def error_table(df: DataFrame, model: TextModel, top_n: int = 5) -> DataFrame:
     """False positives and negatives of rows with title, content, clean, word_count and label.
 
-    Terms are explained for the wrong rows only: a score-only pass filters first.
+    Scores and terms come from one pass: counting the terms of a row costs more than explaining it.
     """
     kind = model.score_kind
-    first = with_scores(df, model, 0, "__first").withColumn(
-        "predicted_label", predicted_label(F.col("__first.score"), kind)
-    )
-    wrong = first.filter(F.col("predicted_label") != F.col("label")).drop("__first")
+    predicted = predicted_label(F.col("scored.score"), kind)
+    scored = with_scores(df, model, top_n).withColumn("predicted_label", predicted)
+    wrong = scored.filter(F.col("predicted_label") != F.col("label"))
     confidence = confidence_of(F.col("predicted_label"), F.col("scored.score"), kind)
 
     def joined(side: str) -> Column:
         return F.array_join(F.transform(f"scored.{side}", lambda t: t["feature"]), ", ")
 
-    return with_scores(wrong, model, top_n).select(
+    return wrong.select(
         F.col("row_id").alias("row_index"),
         F.substring("title", 1, HEADLINE_LENGTH).alias("headline"),
         F.col("label").alias("true_label"),

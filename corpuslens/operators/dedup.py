@@ -32,14 +32,23 @@ def exact_survivors(df: DataFrame) -> DataFrame:
     return first_per_key(df, exact_key())
 
 
+def keyed(df: DataFrame, *columns: str) -> DataFrame:
+    """The narrow table that decides, and further columns."""
+    own = {
+        "row_id": F.col("row_id"),
+        "label": F.col("label"),
+        "digest": F.unhex("document_hash").alias("digest"),
+        "exact": exact_key().alias("exact"),
+    }
+    return df.select(*own.values(), *[c for c in columns if c not in own])
+
+
 def hash_groups(df: DataFrame) -> DataFrame:
     """One row per document hash: rows, distinct exact keys, label conflict, first id."""
-    narrow = df.select(
-        "row_id",
-        "label",
-        F.unhex("document_hash").alias("digest"),
-        exact_key().alias("exact"),
-    )
+    return groups_of(keyed(df))
+
+
+def groups_of(narrow: DataFrame) -> DataFrame:
     per_exact = narrow.groupBy("digest", "exact").agg(
         F.count("*").alias("n"),
         F.min("row_id").alias("row_id"),
@@ -89,14 +98,19 @@ def keep_ids(df: DataFrame, kept: DataFrame, removed_rows: int | None = None) ->
     return df.join(kept, "row_id", "left_semi")
 
 
-def remove_duplicates(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+def remove_duplicates(df: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
     """Surviving rows and the accounting row. The narrow group table is written once.
 
-    Ids decide which copy is the first, so rows without an id are refused.
+    Ids decide which copy is the first, so rows without an id are refused. Where only some columns (``row_id`` among
+    them) are wanted, they are computed and stored together with the keys, instead of normalising the texts once more.
     """
     if not df.filter(F.col("row_id").isNull()).isEmpty():
         raise DataContractError("row_id holds nulls")
-    groups = materialize(hash_groups(df), "hash-groups")
+    narrow = keyed(df, *columns)
+    if columns:
+        narrow = materialize(narrow, "keyed")
+        df = narrow.select(*columns)
+    groups = materialize(groups_of(narrow), "hash-groups")
     stats = dedup_stats(groups)
     counts = stats.first()
     return keep_ids(df, survivors(groups), sum(counts)), stats

@@ -142,7 +142,7 @@ def dedup_contradictory(spark, sf_dir):
 )
 def dedup_normalized(spark, sf_dir):
     """Whole surviving rows."""
-    kept, _ = dedup.remove_duplicates(_copies(spark, sf_dir))
+    kept, _ = dedup.remove_duplicates(_copies(spark, sf_dir), "row_id", "label", "word_count", "document_hash")
     return kept.select(
         "row_id", "label", F.col("word_count").cast("bigint").alias("word_count"), "document_hash"
     )

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuslens.functions.grams import RUN_WORDS, runs, sizes_of
+from corpuslens.functions.memory import trim
 from corpuslens.operators.dedup import BROADCAST_IDS
 from corpuslens.sources.tables import materialize
 
@@ -45,11 +47,22 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of about ``RUN_WORDS`` words at a time: hashing holds several arrays of their size."""
+    try:
+        for batch in batches:
+            for start, rows in runs(sizes_of(batch.column("words")), RUN_WORDS):
+                yield batch.slice(start, rows)
+    finally:
+        trim()
+
+
 def shingle_sets(batch: pa.RecordBatch, words: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingles of each row; fewer words than ``words`` are one shingle, no words none."""
     column = batch.column("words")
     offsets = column.offsets.to_numpy()
-    flat = column.values.to_numpy().astype("uint64")
+    flat = column.values[offsets[0] : offsets[-1]].to_numpy().astype("uint64")
+    offsets = offsets - offsets[0]
     whole = np.zeros(max(len(flat) - words + 1, 0), "uint64")
     for k in range(words):
         whole = mixed(whole + flat[k : k + len(whole)] + STEP)
@@ -74,7 +87,7 @@ def frequencies(hashed: DataFrame, words: int, bits: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << bits, "int64")
-        for batch in batches:
+        for batch in bounded(batches):
             found = list(shingle_sets(batch, words))
             if found:
                 counts += np.bincount(place(np.concatenate(found), bits), minlength=1 << bits)
@@ -92,7 +105,7 @@ def marked(hashed: DataFrame, percent: int, words: int, bits: int) -> DataFrame:
     order = hashed.sparkSession.sparkContext.broadcast(frequencies(hashed, words, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in bounded(batches):
             sizes, digests, prefixes = [], [], []
             for own in shingle_sets(batch, words):
                 needed = -(-percent * len(own) // 100)
@@ -115,7 +128,7 @@ def sets_of(pairs: DataFrame, rows: DataFrame, df: DataFrame, text: Column, word
     chosen = df.select("row_id", text.alias("text")).join(ids, F.col("row_id").eqNullSafe(F.col("wanted_id")), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in bounded(batches):
             found = list(shingle_sets(batch, words))
             digests = [hashlib.sha256(own.tobytes()).digest()[:16] for own in found]
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array([s.astype("int64") for s in found], pa.list_(pa.int64()))], names=["digest", "shingles"])

@@ -88,6 +88,56 @@ def test_matches_brute_force(spark):
         assert math.isclose(got[i]["lead"], lead, rel_tol=1e-7, abs_tol=1e-7)
 
 
+def test_more_grams_than_the_driver_builds_lose_nothing(spark, odd_docs, monkeypatch):
+    monkeypatch.setattr(langid, "CHUNK_GRAMS", 500)
+    docs = spark.createDataFrame(samples(), "doc_id long, text string, lang string").repartition(3)
+    for rows, keep in ((docs, ("doc_id",)), (odd_docs, ("doc_id", "text", "rep", "score"))):
+        whole, large = langid.train(rows), langid.train(rows, limit=5)
+        assert whole.tables is None and large.tables is not None and large.characters == whole.characters
+        assert math.isclose(large.ceiling, whole.ceiling) and np.allclose(large.curve, whole.curve)
+        expected, got = (
+            sorted(langid.identify(rows, m, keep=keep).collect(), key=lambda r: str(r[: len(keep)])) for m in (whole, large)
+        )
+        assert [r[: len(keep)] for r in got] == [r[: len(keep)] for r in expected]
+        for a, b in zip(got, expected):
+            a, b = a["language"], b["language"]
+            assert (a["lang"], a["best"], a["rejected"], a["events"]) == (b["lang"], b["best"], b["rejected"], b["events"])
+            assert math.isclose(a["score"], b["score"], rel_tol=1e-9) and (a["bits"] is None) == (b["bits"] is None)
+            assert a["bits"] is None or math.isclose(a["bits"], b["bits"], rel_tol=1e-12)
+
+
+def test_large_models_match_brute_force(spark, monkeypatch):
+    large = langid.train
+    monkeypatch.setattr(langid, "train", lambda docs: large(docs, limit=300))
+    test_matches_brute_force(spark)
+
+
+def test_rows_list_what_is_not_frequent():
+    texts = ["Été eau eau", None, "", "l'eau 12 abcdefg abcdefg", "x"]
+    every = sorted({g for text in texts for g in grams_of(text, langid.ORDER)})
+    codes = np.array([[0] * (langid.ORDER - len(g)) + [ord(c) for c in g] for g in every], "int64")
+    for share in (0, 5, len(every)):
+        keys = np.sort(langid.row_keys(codes[:share]))
+        part = langid.partly_measured(langid.Frequent(keys, np.full((share, 2), 0.25)), pa.array(texts), langid.ORDER)
+        listed = Counter(zip(part.row.tolist(), (g.decode("utf-32-le") for g in part.gram.to_pylist())))
+        assert set(listed.values()) <= {1}
+        got = {pair: n for pair, n in zip(listed, part.times.tolist())}
+        whole = Counter((n, g) for n, text in enumerate(texts) for g in grams_of(text, langid.ORDER))
+        assert got == {pair: n for pair, n in whole.items() if pair[1] not in every[:share]}
+        assert part.totals.tolist() == [[2.0 * sum(n for (r, g), n in whole.items() if r == row and g in every[:share])] * 2 for row in range(len(texts))]
+        assert part.events.tolist() == [sum(n for (r, _), n in whole.items() if r == row) for row in range(len(texts))]
+
+
+def test_no_language_is_cut_to_its_share(spark):
+    rows = [(n, " ".join(f"{a}{b}{c}" for a in "abcdefg" for b in "hijklm" for c in "nopq"), "many") for n in range(1, 40)]
+    rows += [(n, "zu", "few") for n in range(40, 80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs, limit=400)
+    lengths = {one.name: len(one.grams) for one in model.languages}
+    assert lengths["many"] == len({g[-k:] for g in grams_of(rows[0][1], langid.ORDER) for k in range(1, len(g) + 1)})
+    assert model.tables is None
+
+
 def test_probabilities_add_up_to_one():
     generator = np.random.default_rng(1)
     words = ["".join(generator.choice(list("abcö"), generator.integers(1, 7))) for _ in range(80)]

@@ -163,3 +163,46 @@ def test_bayes_alone_takes_one_pass_over_blocks(spark, monkeypatch):
         sums[label, i % 4] += 0.5
     theta = np.log(sums + 0.5) - np.log(sums.sum(1, keepdims=True) + 2.0)
     assert np.allclose(linear.coefficients, theta[1] - theta[0]) and np.isclose(linear.intercept, np.log(20 / 40))
+
+
+def test_every_partition_has_its_share_of_shards(spark):
+    from pyspark.ml.linalg import Vectors
+
+    rows = [(i, i % 2, Vectors.sparse(3, [i % 3], [1.0])) for i in range(1200)]
+    with solver.dealt(spark.createDataFrame(rows, ["row_id", "label", "features"]), 1200) as data:
+        held = data.blocks.mapPartitions(lambda blocks: [sum(solver.Block(b).rows for b in blocks)]).collect()
+    assert len(held) == 8 and sum(held) == 1200 and min(held) > 75 and max(held) < 300
+
+
+@pytest.mark.parametrize("name", ["naive_bayes", "logistic_regression", "passive_aggressive", "linear_svm"])
+def test_fits_of_texts_write_no_vectors(clean, monkeypatch, name):
+    from corpuslens.operators import calibrate
+    from corpuslens.operators.models import fit_classifier
+
+    monkeypatch.setattr(solver, "TEXT_BYTES", 100)
+    options = ModelOptions(passive_aggressive_epochs=6)
+    features, _ = fit_pipeline(clean, "dummy", TOY)
+    apart = fit_classifier(name, with_features(clean, features).select("row_id", "label", "features"), features.size, options)
+    written = []
+    monkeypatch.setattr(calibrate, "materialize", lambda df, name: written.append(name) or df)
+    _, linear = fit_pipeline(clean, name, TOY, options)
+    assert not written
+    close = 2e-3 if name in ("logistic_regression", "linear_svm") else 1e-9
+    assert np.allclose(linear.coefficients, apart.coefficients, atol=close) and abs(linear.intercept - apart.intercept) < close
+
+
+def test_products_and_sums_of_blocks():
+    generator = np.random.default_rng(5)
+    lengths = np.array([70, 0, 130, 64])
+    index = np.concatenate([np.sort(generator.choice(200, n, replace=False)) for n in lengths])
+    value = generator.normal(size=lengths.sum())
+    dense = np.zeros((4, 200))
+    dense[np.repeat(np.arange(4), lengths), index] = value
+    zero = np.zeros(4, np.int32)
+    [packed] = [b.column("block")[0].as_py() for b in solver.blocks_of(lengths, index.astype(np.int32), value, zero, zero, zero)]
+    block = solver.Block(packed)
+    for columns in (1, 2, 9):  # one by one, and all at once
+        wide, factors, total = generator.normal(size=(200, columns)), generator.normal(size=(columns, 4)), np.ones((columns, 200))
+        assert np.allclose(block.products(wide), dense @ wide)
+        block.scatter(factors, total)
+        assert np.allclose(total, 1.0 + factors @ dense)
